@@ -11,6 +11,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from basketry.functions.dates import epoch_seconds
+from basketry.plans import staging, warehouse
+from basketry.session import cut_lineage
 from basketry.sources import schemas
 from basketry.sources.readers import bundled_currency_rates, bundled_rate_rows
 
@@ -274,3 +276,27 @@ class Inputs:
             x("array(struct(k % 3 = 0 as flag, if(k % 3 = 0, array(1, 2), null) as sizes))").alias("items"),
         ), {"ignoreNullFields": "false"})
         return df.select("event_id", F.col("event_type").alias("collection"), document.alias("document"))
+
+    # ---- models built from the inputs, shared by the queries on top of them ----
+
+    @cached_property
+    def cart(self) -> DataFrame:
+        return staging.checkout_cart_items(self.events, self.rates)
+
+    @cached_property
+    def staged(self) -> dict[str, DataFrame]:
+        """Staging models; the cart items, which several models read, are written once."""
+        models = warehouse.staging_models(self.events, self.ip_locations, self.products, self.rates)
+        return {**models, warehouse.CART: cut_lineage(models[warehouse.CART], "cart")}
+
+    @cached_property
+    def core(self) -> dict[str, DataFrame]:
+        return warehouse.core_models(self.staged, self.rates)
+
+    @property
+    def fact(self) -> DataFrame:
+        return self.core[warehouse.FACT]
+
+    @cached_property
+    def mart(self) -> DataFrame:
+        return warehouse.mart_model(self.core)

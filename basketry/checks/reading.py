@@ -82,7 +82,7 @@ def _(i):
     writers.write_csv(i.rates, path)
     seed = readers.read_currency_rates(i.spark, path)
     used = staging.cart_lines(i.events).groupBy(
-        F.col("item.currency").alias("currency_symbol")).agg(F.count(F.lit(1)).alias("cart_items"))
+        F.col("item_currency").alias("currency_symbol")).agg(F.count(F.lit(1)).alias("cart_items"))
     return seed.join(used, "currency_symbol", "left").select(
         "currency_symbol", F.length("currency_symbol").cast("bigint").alias("symbol_length"),
         "currency_code", "currency_name", "rate_to_usd",

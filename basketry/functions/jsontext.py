@@ -18,13 +18,13 @@ def array_items(json: Column | str) -> Column:
 
 def _scalar_only(value: Column, json: Column, name: str) -> Column:
     # Objects and arrays come back as their JSON text.  Only a value that looks like
-    # one pays for the second, typed parse.
+    # one pays for the second, typed parse; the nested branch keeps codegen from
+    # evaluating it up front for every row.
     kind = F.schema_of_variant(
         F.try_variant_get(F.try_parse_json(json), f"$.{name}", "variant")
     )
-    nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-    looks_nested = value.startswith("{") | value.startswith("[")
-    return F.when(looks_nested & nested, F.lit(None).cast("string")).otherwise(value)
+    is_text = F.when(kind == "STRING", value)
+    return F.when(value.startswith("{") | value.startswith("["), is_text).otherwise(value)
 
 
 def scalar(json: Column | str, name: str) -> Column:
@@ -33,11 +33,23 @@ def scalar(json: Column | str, name: str) -> Column:
     return _scalar_only(F.get_json_object(column, f"$.{name}"), column, name)
 
 
-def scalars(json: Column | str, names: list[str]) -> Column:
-    """Several top-level scalars from a single parse, as a struct of texts."""
-    column = as_column(json)
-    parsed = F.from_json(column, ", ".join(f"`{n}` string" for n in names))
-    return F.struct(*[_scalar_only(parsed[n], column, n).alias(n) for n in names])
+def once(expression: Column) -> Column:
+    """The value of a costly expression as a column of its own.
+
+    As a generator it is evaluated once a row; as a plain projection the optimizer
+    would copy it into every place that uses one of its fields.
+    """
+    return F.explode(F.array(expression))
+
+
+def fields(json: Column | str, names: list[str]) -> Column:
+    """Several top-level fields of an object as a struct of texts, nested ones included."""
+    return F.from_json(as_column(json), ", ".join(f"`{n}` string" for n in names))
+
+
+def scalar_field(parsed: str, json: str, name: str) -> Column:
+    """One field of ``fields``, provided it is a scalar in the document."""
+    return _scalar_only(F.col(parsed)[name], F.col(json), name)
 
 
 def observed_type(variant: Column | str) -> Column:

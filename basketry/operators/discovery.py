@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -12,35 +12,47 @@ from basketry.operators.pick import first_n_per_key
 
 SAMPLE_SIZE = 10
 
+# Type labels.
 _LABELS = {type(None): "null", bool: "bool", int: "int", float: "float", str: "string",
            list: "array", dict: "object"}
 
 
-def value_paths(value: object, path: str = "", in_array: bool = False) -> Iterator[tuple[str, str]]:
-    """(path, type) pairs below a parsed JSON value.
+def path_walker() -> Callable[[object], Iterator[tuple[str, str]]]:
+    """A function from a parsed JSON value to its (path, type) pairs.
 
-    Arrays are judged by their first element; an array right inside an array is
-    labelled but not entered.
+    Arrays are judged by their first element; an array right inside an array is labelled
+    but not entered.  The walker is local so that Spark ships its code to the workers,
+    which then need no copy of this package.
     """
-    if isinstance(value, dict):
-        children = [(f"{path}.{k}" if path else k, v) for k, v in value.items()]
-    elif isinstance(value, list) and value and not in_array:
-        children = [(f"{path}[]", value[0])]
-    else:
-        return
-    for child_path, child in children:
-        yield child_path, _LABELS[type(child)]
-        yield from value_paths(child, child_path, isinstance(value, list))
-
-
-def _paths_per_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        seen = {
-            (group, *pair)
-            for group, doc in zip(batch["grp"], batch["doc"])
-            for pair in value_paths(json.loads(doc))
-        }
-        yield pd.DataFrame(sorted(seen, key=str), columns=["grp", "path", "type"])
+    labels = dict(_LABELS)
+
+    def walk(value: object, path: str = "", in_array: bool = False) -> Iterator[tuple[str, str]]:
+        if isinstance(value, dict):
+            children = [(f"{path}.{k}" if path else k, v) for k, v in value.items()]
+        elif isinstance(value, list) and value and not in_array:
+            children = [(f"{path}[]", value[0])]
+        else:
+            return
+        for child_path, child in children:
+            yield child_path, labels[type(child)]
+            yield from walk(child, child_path, isinstance(value, list))
+
+    return walk
+
+
+def _distinct_paths() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    walk = path_walker()
+
+    def per_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            seen = {
+                (group, *pair)
+                for group, doc in zip(batch["grp"], batch["doc"])
+                for pair in walk(json.loads(doc))
+            }
+            yield pd.DataFrame(sorted(seen, key=str), columns=["grp", "path", "type"])
+
+    return per_batch
 
 
 def document_paths(df: DataFrame, group: str, document: str) -> DataFrame:
@@ -48,7 +60,7 @@ def document_paths(df: DataFrame, group: str, document: str) -> DataFrame:
     docs = df.select(F.col(group).alias("grp"), F.col(document).alias("doc")).where(
         F.col("doc").isNotNull()
     )
-    return docs.mapInPandas(_paths_per_batch, "grp string, path string, type string")
+    return docs.mapInPandas(_distinct_paths(), "grp string, path string, type string")
 
 
 def discover_schema(df: DataFrame, group: str, document: str, order: list[Column], *,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from basketry.functions.jsontext import once
 from basketry.functions.text import as_column, catalog_url, is_filled, url_authority
 from basketry.operators import pages
 from basketry.operators.lookup import first_source_wins, remaining_tasks
@@ -72,7 +73,8 @@ def attempt_domains(domain: Column | str, ranked: Column, extra: int = FALLBACK_
 def domain_plan(urls: DataFrame, order: list[str]) -> DataFrame:
     """(product_id, domain, attempts): where to look for a product, in that order."""
     ranked = ranked_values(top_domains(urls), "domain").scalar()
-    return product_domains(urls, order).withColumn("attempts", attempt_domains("domain", ranked))
+    domains = product_domains(urls, order).select("*", once(ranked).alias("ranked"))
+    return domains.withColumn("attempts", attempt_domains("domain", F.col("ranked"))).drop("ranked")
 
 
 def open_tasks(urls: DataFrame, done: DataFrame, limit: int | None = None) -> DataFrame:
@@ -86,7 +88,7 @@ def parse_pages(stored: DataFrame) -> DataFrame:
     """Outcome and 21 product columns for stored pages (product_id, domain, attempt, html)."""
     data = F.col("data")
     return (
-        stored.withColumn("data", pages.embedded_product("html"))
+        stored.select("*", once(pages.embedded_product("html")).alias("data"))
         .select(
             *pages.product_record(
                 data, F.col("product_id"), catalog_url("domain", "product_id"), "domain"

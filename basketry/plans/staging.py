@@ -28,8 +28,11 @@ def cart_lines(events: DataFrame) -> DataFrame:
         *[blank_to_null(c).alias(c) for c in CLEANED],
         F.posexplode(jsontext.array_items("cart_products")).alias("item_index", "item"),
     )
-    fields = lines.withColumn("item", jsontext.scalars("item", ITEM_FIELDS))
-    return fields.where(F.col("item.product_id").isNotNull())
+    parsed = lines.select("*", jsontext.once(jsontext.fields("item", ITEM_FIELDS)).alias("parsed"))
+    return parsed.select(
+        *[c for c in lines.columns if c != "item"],
+        *[jsontext.scalar_field("parsed", "item", f).alias(f"item_{f}") for f in ITEM_FIELDS],
+    ).where(F.col("item_product_id").isNotNull())
 
 
 def with_currency_code(lines: DataFrame, currency: DataFrame) -> DataFrame:
@@ -62,10 +65,10 @@ def checkout_cart_items(events: DataFrame, currency_rates: DataFrame) -> DataFra
         surrogate_key("user_id_db").alias("customer_key"),
         "email_address", "device_id", "user_agent",
         float_text_to_long("order_id").alias("order_id"),
-        to_long("item.product_id").alias("product_id"),
-        to_long("item.amount").alias("amount"),
-        parse_price("item.price").alias("unit_price"),
-        F.nullif(F.col("item.currency"), F.lit("")).alias("currency_symbol"),
+        to_long("item_product_id").alias("product_id"),
+        to_long("item_amount").alias("amount"),
+        parse_price("item_price").alias("unit_price"),
+        F.nullif(F.col("item_currency"), F.lit("")).alias("currency_symbol"),
     )
     priced = with_currency_code(typed, currency_rates)
     return first_per_key(

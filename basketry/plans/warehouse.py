@@ -14,6 +14,7 @@ from basketry.sinks.merge import merge_into_table
 from basketry.sinks.writers import publish_view, save_table, table_or_none
 
 STAGING, CORE, MART = "stg", "core", "mart"
+CART = "stg_checkout_success_cart_items"
 FACT = "fact_sales_order_detail"
 
 # Row-count bounds of the sales fact in production.
@@ -23,7 +24,7 @@ FACT_ROWS = (30_000, 50_000)
 def staging_models(events: DataFrame, ip_locations: DataFrame, raw_products: DataFrame,
                    currency_rates: DataFrame) -> dict[str, DataFrame]:
     return {
-        "stg_checkout_success_cart_items": staging.checkout_cart_items(events, currency_rates),
+        CART: staging.checkout_cart_items(events, currency_rates),
         "stg_currency": staging.currency(events, currency_rates),
         "stg_location": staging.location(ip_locations),
         "stg_products": staging.products(raw_products),
@@ -32,7 +33,7 @@ def staging_models(events: DataFrame, ip_locations: DataFrame, raw_products: Dat
 
 
 def core_models(stg: dict[str, DataFrame], currency_rates: DataFrame) -> dict[str, DataFrame]:
-    cart = stg["stg_checkout_success_cart_items"]
+    cart = stg[CART]
     core = {
         "dim_date": dims.date(cart),
         "dim_customer": dims.customer(cart),
@@ -50,7 +51,7 @@ def core_models(stg: dict[str, DataFrame], currency_rates: DataFrame) -> dict[st
 
 def sales_fact(stg: dict[str, DataFrame], dim_currency: DataFrame, currency_rates: DataFrame,
                cart: DataFrame | None = None) -> DataFrame:
-    cart = stg["stg_checkout_success_cart_items"] if cart is None else cart
+    cart = stg[CART] if cart is None else cart
     return facts.sales_order_detail(
         cart, stg["stg_location"], dim_currency, stg["stg_store"], stg["stg_products"], currency_rates
     )
@@ -68,13 +69,13 @@ def build(spark: SparkSession, events: DataFrame, ip_locations: DataFrame, raw_p
           as_of: datetime.date | None = None) -> dict[str, DataFrame]:
     """Build all tables and return them, read back.
 
-    Cart items feed three models, so they are checkpointed once instead of being parsed
+    Cart items feed three models, so they are written once instead of being parsed
     three times.  Every table is checked against its contract before it is written.
     An incremental run merges the look-back window into the fact; the first run, and
     one that is not incremental, replaces it.
     """
     stg = staging_models(events, ip_locations, raw_products, currency_rates)
-    stg["stg_checkout_success_cart_items"] = cut_lineage(stg["stg_checkout_success_cart_items"])
+    stg[CART] = cut_lineage(stg[CART], "cart")
     for name, df in stg.items():
         publish_view(df, name)
 
@@ -84,7 +85,7 @@ def build(spark: SparkSession, events: DataFrame, ip_locations: DataFrame, raw_p
             continue
         core[name] = spark.table(save_table(enforce_contract(df, name), CORE, name))
 
-    cart = stg["stg_checkout_success_cart_items"]
+    cart = stg[CART]
     update = incremental and table_or_none(spark, f"{CORE}.{FACT}") is not None
     fact = enforce_contract(
         sales_fact(stg, core["dim_currency"], currency_rates,
@@ -108,7 +109,7 @@ def declared_tests(t: dict[str, DataFrame], currency_rates: DataFrame) -> dict[s
     fact, flat = t[FACT], t["mart_sales_order_detail"]
     not_null = {
         "seed": ["currency_symbol", "currency_code", "rate_to_usd"],
-        "stg_checkout_success_cart_items": ["order_id", "product_id", "event_timestamp"],
+        CART: ["order_id", "product_id", "event_timestamp"],
         "stg_products": ["product_id"], "stg_store": ["store_id"],
         "stg_currency": ["currency_code"], "stg_location": ["ip_address"],
         "dim_date": ["date_key", "full_date"],
@@ -169,6 +170,6 @@ def declared_tests(t: dict[str, DataFrame], currency_rates: DataFrame) -> dict[s
             ["location_country_name", "location_region_name", "location_city_name"]),
         "fact row count": q.row_count_between(fact, *FACT_ROWS),
         "no duplicate order and product": q.duplicate_keys(
-            t["stg_checkout_success_cart_items"], ["order_id", "product_id"]),
+            t[CART], ["order_id", "product_id"]),
         "mart has the rows of the fact": q.same_row_count(fact, flat, "fact_count", "mart_count"),
     }

@@ -20,7 +20,7 @@ def streaming_cart_lines(events: DataFrame, delay: str = DELAY) -> DataFrame:
         "source_event_id", "item_index", "time_stamp",
         F.timestamp_seconds("time_stamp").alias("event_timestamp"),
         float_text_to_long("order_id").alias("order_id"),
-        to_long("item.product_id").alias("product_id"),
+        to_long("item_product_id").alias("product_id"),
     )
     return lines.withWatermark("event_timestamp", delay).dropDuplicatesWithinWatermark(
         ["order_id", "product_id"]
