@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from basketry.functions.dates import epoch_seconds
 from basketry.plans import staging, warehouse
-from basketry.session import cut_lineage
 from basketry.sources import schemas
 from basketry.sources.readers import bundled_currency_rates, bundled_rate_rows
 
@@ -56,6 +55,14 @@ class Inputs:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def spread(self, df: DataFrame, *keys: str) -> DataFrame:
+        """Share out a table that is stored in fewer pieces than there are cores.
+
+        A large table has more pieces than that and is left as it is.
+        """
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
     @cached_property
     def rates(self) -> DataFrame:
         return bundled_currency_rates(self.spark)
@@ -68,6 +75,7 @@ class Inputs:
         lines = self.table("lineitem").select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"
         )
+        lines = self.spread(lines, "l_orderkey", "l_partkey", "l_suppkey")
         df = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).withColumn(
             "copy", x("explode(if(l_orderkey % 17 = 0, array(0, 1), array(0)))")
         )
@@ -285,9 +293,7 @@ class Inputs:
 
     @cached_property
     def staged(self) -> dict[str, DataFrame]:
-        """Staging models; the cart items, which several models read, are written once."""
-        models = warehouse.staging_models(self.events, self.ip_locations, self.products, self.rates)
-        return {**models, warehouse.CART: cut_lineage(models[warehouse.CART], "cart")}
+        return warehouse.written_staging(self.events, self.ip_locations, self.products, self.rates)
 
     @cached_property
     def core(self) -> dict[str, DataFrame]:

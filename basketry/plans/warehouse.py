@@ -32,6 +32,18 @@ def staging_models(events: DataFrame, ip_locations: DataFrame, raw_products: Dat
     }
 
 
+def written_staging(*inputs: DataFrame) -> dict[str, DataFrame]:
+    """Staging models written once below the shared folder.
+
+    Cart items feed three models and would be parsed three times.  The lookups are written
+    because a table on disk has a size: Spark then broadcasts a small one to the fact
+    rows instead of shuffling these by a key such as the currency, of which one value
+    may cover a third of them.
+    """
+    models = staging_models(*inputs)
+    return {n: df if n == "stg_products" else cut_lineage(df, n) for n, df in models.items()}
+
+
 def core_models(stg: dict[str, DataFrame], currency_rates: DataFrame) -> dict[str, DataFrame]:
     cart = stg[CART]
     core = {
@@ -69,13 +81,11 @@ def build(spark: SparkSession, events: DataFrame, ip_locations: DataFrame, raw_p
           as_of: datetime.date | None = None) -> dict[str, DataFrame]:
     """Build all tables and return them, read back.
 
-    Cart items feed three models, so they are written once instead of being parsed
-    three times.  Every table is checked against its contract before it is written.
+    Every table is checked against its contract before it is written.
     An incremental run merges the look-back window into the fact; the first run, and
     one that is not incremental, replaces it.
     """
-    stg = staging_models(events, ip_locations, raw_products, currency_rates)
-    stg[CART] = cut_lineage(stg[CART], "cart")
+    stg = written_staging(events, ip_locations, raw_products, currency_rates)
     for name, df in stg.items():
         publish_view(df, name)
 
