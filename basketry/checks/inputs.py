@@ -6,14 +6,16 @@ one join), so no order, customer or product gathers in one task.
 
 from __future__ import annotations
 
+from copy import copy
 from functools import cached_property
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from basketry.functions.dates import epoch_seconds
 from basketry.plans import staging, warehouse
 from basketry.sources import schemas
-from basketry.sources.readers import bundled_currency_rates, bundled_rate_rows
+from basketry.sources.readers import Registry, bundled_currency_rates, bundled_rate_rows
 
 UNMAPPED_SYMBOL = "¤?"
 GENDER_SAMPLES = ["Women", " female ", "MEN", "Kids", "çocuk", "женски", "male", "", None,
@@ -48,10 +50,23 @@ def _events(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
 class Inputs:
     """Lazy access to the benchmark tables below one folder and what derives from them."""
 
+    _known: WeakKeyDictionary[SparkSession, dict[str, Inputs]] = WeakKeyDictionary()
+
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
 
+    @classmethod
+    def of(cls, spark: SparkSession, folder: str) -> Inputs:
+        """Inputs whose plans are built once a session; models are new each time."""
+        known = cls._known.setdefault(spark, {})
+        if folder not in known:
+            known[folder] = cls(spark, folder)
+        plans = known[folder]
+        for name in ("rates", "checkouts", "browsing", "products", "ip_locations", "ip_ranges"):
+            getattr(plans, name)
+        return copy(plans)
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
@@ -67,15 +82,17 @@ class Inputs:
     def rates(self) -> DataFrame:
         return bundled_currency_rates(self.spark)
 
+    @cached_property
+    def line_items(self) -> DataFrame:
+        columns = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"]
+        return self.spread(self.table("lineitem").select(*columns), "l_orderkey", "l_partkey", "l_suppkey")
+
     @cached_property
     def checkouts(self) -> DataFrame:
         """A checkout event per line item; orders divisible by 17 are tracked twice."""
         x = F.expr
         orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-        lines = self.table("lineitem").select(
-            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"
-        )
-        lines = self.spread(lines, "l_orderkey", "l_partkey", "l_suppkey")
+        lines = self.line_items
         df = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).withColumn(
             "copy", x("explode(if(l_orderkey % 17 = 0, array(0, 1), array(0)))")
         )
@@ -292,17 +309,13 @@ class Inputs:
         return staging.checkout_cart_items(self.events, self.rates)
 
     @cached_property
-    def staged(self) -> dict[str, DataFrame]:
-        return warehouse.written_staging(self.events, self.ip_locations, self.products, self.rates)
-
-    @cached_property
-    def core(self) -> dict[str, DataFrame]:
-        return warehouse.core_models(self.staged, self.rates)
+    def models(self) -> Registry:
+        return warehouse.define(self.spark, self.events, self.ip_locations, self.products, self.rates)
 
     @property
     def fact(self) -> DataFrame:
-        return self.core[warehouse.FACT]
+        return self.models[warehouse.FACT]
 
-    @cached_property
+    @property
     def mart(self) -> DataFrame:
-        return warehouse.mart_model(self.core)
+        return self.models[warehouse.FLAT]

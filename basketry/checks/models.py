@@ -39,28 +39,28 @@ def _(i):
 
 @case("mod2_currency", query("SELECT * FROM cur"))
 def _(i):
-    return warehouse.staging_models(i.events, i.ip_locations, i.products, i.rates)["stg_currency"]
+    return i.models["stg_currency"]
 
 
 @case("mod3_location", query("SELECT * FROM loc"))
 def _(i):
-    return warehouse.staging_models(i.events, i.ip_locations, i.products, i.rates)["stg_location"]
+    return i.models["stg_location"]
 
 
 @case("mod4_products", query("SELECT * FROM prod"))
 def _(i):
-    return shown(warehouse.staging_models(i.events, i.ip_locations, i.products, i.rates)["stg_products"])
+    return shown(i.models["stg_products"])
 
 
 @case("mod5_store", query("SELECT * FROM store"))
 def _(i):
-    return warehouse.staging_models(i.events, i.ip_locations, i.products, i.rates)["stg_store"]
+    return i.models["stg_store"]
 
 
 def _dim(name, sql):
     @case(name, query(f"SELECT * FROM {sql}"))
     def _(i):
-        return shown(quality.enforce_contract(i.core[name.split("_", 1)[1]], name.split("_", 1)[1]))
+        return shown(quality.enforce_contract(i.models[name.split("_", 1)[1]], name.split("_", 1)[1]))
 
 
 _dim("mod6_dim_date", "dim_date")
@@ -76,7 +76,7 @@ SELECT CAST('0x' || substr(md5(date_key || '-' || d.currency_code), 1, 15) AS BI
        date_key, currency_key, rate_to_usd
 FROM dim_date, (SELECT * FROM dim_cur WHERE currency_key <> -1) d JOIN rate ON rate.currency_code = d.currency_code"""))
 def _(i):
-    return shown(quality.enforce_contract(i.core["fact_exchange_rate"], "fact_exchange_rate"))
+    return shown(quality.enforce_contract(i.models["fact_exchange_rate"], "fact_exchange_rate"))
 
 
 _FACT = "SELECT * EXCLUDE (time_stamp, sold_product_id) FROM fact"
@@ -92,14 +92,14 @@ def _(i):
     # The fact up to a day, then a merge of the look-back window around that day and all
     # later lines: the result is the fact of a full load.
     cut = datetime.date(2000, 6, 30)
-    cart = i.staged[warehouse.CART]
+    cart = i.models[warehouse.CART]
     early = facts.sales_order_detail(
-        cart.where(F.col("order_date") <= F.lit(cut)), i.staged["stg_location"], i.core["dim_currency"],
-        i.staged["stg_store"], i.staged["stg_products"], i.rates)
+        cart.where(F.col("order_date") <= F.lit(cut)), i.models["stg_location"], i.models["dim_currency"],
+        i.models["stg_store"], i.models["stg_products"], i.rates)
     known = early.where(F.col("order_id").isNotNull())
     late = facts.sales_order_detail(
-        facts.recent(cart, cut), i.staged["stg_location"], i.core["dim_currency"],
-        i.staged["stg_store"], i.staged["stg_products"], i.rates)
+        facts.recent(cart, cut), i.models["stg_location"], i.models["dim_currency"],
+        i.models["stg_store"], i.models["stg_products"], i.rates)
     # Orders without an id never match and would be inserted again; they are set aside first.
     unkeyed = early.where(F.col("order_id").isNull() & (
         F.to_date(F.col("date_key").cast("string"), "yyyyMMdd") < F.date_sub(F.lit(cut), facts.LOOK_BACK_DAYS)))
@@ -346,7 +346,7 @@ def _(i):
 @case("dq8_length_is", query("""
 SELECT location_key, location_country_code FROM dim_loc WHERE location_key <> -1 AND length(location_country_code) <> 2"""))
 def _(i):
-    return quality.length_is(dims.location(i.staged["stg_location"]), "location_country_code", 2,
+    return quality.length_is(dims.location(i.models["stg_location"]), "location_country_code", 2,
                              where="location_key <> -1").select("location_key", "location_country_code")
 
 
@@ -365,14 +365,13 @@ def _(i):
 SELECT * FROM (VALUES ('missing column store_domain'), ('unexpected column domain'),
                       ('column store_id is string, not bigint')) v(difference)""")
 def _(i):
-    wrong = dims.store(i.staged["stg_store"]).withColumn("store_id", F.col("store_id").cast("string"))
+    wrong = dims.store(i.models["stg_store"]).withColumn("store_id", F.col("store_id").cast("string"))
     return quality.contract_report(wrong.withColumnRenamed("store_domain", "domain"), schemas.contract("dim_store"))
 
 
 @case("dq_declared_tests", None)
 def _(i):
-    tables = {**i.staged, **i.core, "mart_sales_order_detail": i.mart}
-    return quality.failing_rows(warehouse.declared_tests(tables, i.rates))
+    return quality.failing_rows(warehouse.declared_tests(i.models, i.rates))
 
 
 @case("jon11_overlapping_ranges", query("""

@@ -490,7 +490,7 @@ UNION ALL SELECT 'store', store_key, CAST(store_id AS VARCHAR), store_domain FRO
 UNION ALL SELECT 'product', product_key, product_name, product_gender FROM dim_prod
 UNION ALL SELECT 'customer', customer_key, customer_user_id_db, customer_email_address FROM dim_cust"""))
 def _(i):
-    stg = i.staged
+    stg = i.models
     parts = {
         "currency": dims.currency(stg["stg_currency"]).select("currency_key", "currency_code", "currency_name"),
         "location": dims.location(stg["stg_location"]).select(
@@ -498,7 +498,7 @@ def _(i):
         "store": dims.store(stg["stg_store"]).select(
             "store_key", F.col("store_id").cast("string"), "store_domain"),
         "product": dims.product(stg["stg_products"]).select("product_key", "product_name", "product_gender"),
-        "customer": dims.customer(stg["stg_checkout_success_cart_items"]).select(
+        "customer": dims.customer(i.cart).select(
             "customer_key", "customer_user_id_db", "customer_email_address"),
     }
     named = [df.toDF("k", "a", "b").withColumn("dim", F.lit(n)) for n, df in parts.items()]

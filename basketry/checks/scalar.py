@@ -225,7 +225,7 @@ def _(i):
     priced = F.when(number.isNotNull(), F.expr(
         "if(l_suppkey % 7 = 0, floor(l_extendedprice), l_extendedprice)").cast("double"))
     rate = F.get(F.array(*[F.lit(r) for r in _rates()]), number.cast("int"))
-    df = i.table("lineitem").withColumn("copy", F.expr("explode(if(l_orderkey % 17 = 0, array(0, 1), array(0)))"))
+    df = i.line_items.withColumn("copy", F.expr("explode(if(l_orderkey % 17 = 0, array(0, 1), array(0)))"))
     ident = F.expr("concat_ws('-', 'e', l_orderkey, l_linenumber, l_partkey, l_suppkey, "
                    "cast(round(l_extendedprice * 100) as bigint), copy)")
     return df.select(ident.alias("source_event_id"), numbers.usd_price(priced, rate).cast("double").alias("usd"))
@@ -298,7 +298,7 @@ def _(i):
 def _(i):
     whole = F.expr("if(l_suppkey % 7 = 0, format_number(floor(l_extendedprice), 0), format_number(l_extendedprice, 2))")
     written = F.when(F.expr("l_linenumber % 2 = 1"), whole).otherwise(F.translate(whole, ",.", ".,"))
-    df = i.table("lineitem").withColumn("copy", F.expr("explode(if(l_orderkey % 17 = 0, array(0, 1), array(0)))"))
+    df = i.line_items.withColumn("copy", F.expr("explode(if(l_orderkey % 17 = 0, array(0, 1), array(0)))"))
     ident = F.expr("concat_ws('-', 'e', l_orderkey, l_linenumber, l_partkey, l_suppkey, "
                    "cast(round(l_extendedprice * 100) as bigint), copy)")
     return df.select(ident.alias("source_event_id"), numbers.parse_price(written).alias("price"))

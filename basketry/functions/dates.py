@@ -17,9 +17,15 @@ def utc_date(epoch_seconds: Column | str) -> Column:
 
 
 def epoch_seconds(zoneless: Column | str) -> Column:
-    """Epoch second of a zone-less timestamp read as UTC."""
-    origin = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_diff("SECOND", origin, as_column(zoneless))
+    """Epoch second of a zone-less timestamp read as UTC.
+
+    Put together from its parts: a timestamp difference would go through the session
+    time zone and come out wrong in a daylight-saving gap.
+    """
+    moment = as_column(zoneless)
+    days = F.unix_date(moment.cast("date")).cast("bigint")
+    clock = F.hour(moment) * 3600 + F.minute(moment) * 60 + F.second(moment)
+    return days * _SECONDS_PER_DAY + clock
 
 
 def date_key(day: Column | str) -> Column:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from basketry.functions.text import as_column, strip_space
+from basketry.functions.text import as_column
 
 NUMERIC = "decimal(38,9)"
 
-_PLAIN_NUMBER = r"^\s*[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?\s*$"
+_PLAIN_NUMBER = r"^\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)\s*$"
 
 
 def to_long(text: Column | str) -> Column:
@@ -18,8 +18,7 @@ def to_long(text: Column | str) -> Column:
 
 def to_double(text: Column | str) -> Column:
     """Finite decimal number or null; keeps Java suffixes such as ``12d`` out."""
-    column = as_column(text)
-    return F.when(column.rlike(_PLAIN_NUMBER), column.try_cast("double"))
+    return F.regexp_extract(as_column(text), _PLAIN_NUMBER, 1).try_cast("double")
 
 
 def to_numeric(value: Column | str) -> Column:
@@ -27,13 +26,8 @@ def to_numeric(value: Column | str) -> Column:
 
 
 def float_text_to_long(text: Column | str) -> Column:
-    """'3251020421.0' -> 3251020421, rounding half away from zero.
-
-    Text of digits alone skips the detour through double, which would lose
-    precision beyond 2**53.
-    """
-    column = as_column(text)
-    return F.round(to_double(column)).try_cast("bigint")
+    """'3251020421.0' -> 3251020421, rounding half away from zero."""
+    return F.round(to_double(text)).try_cast("bigint")
 
 
 def parse_price(text: Column | str) -> Column:
@@ -44,15 +38,15 @@ def parse_price(text: Column | str) -> Column:
     gives null.
     """
     price = as_column(text)
-    decimal_mark = F.when(price.rlike(r"[.,][0-9]{3}\z"), F.lit("")).otherwise(
-        F.regexp_extract(price, r"([.,])[^.,]*\z", 1)
-    )
-    plain = (
-        F.when(decimal_mark == ",", F.translate(price, ",.", "."))
-        .when(decimal_mark == ".", F.translate(price, ",", ""))
-        .otherwise(F.translate(price, ".,", ""))
-    )
-    return F.when(strip_space(price) != "", to_double(plain))
+    digits = F.translate(price, ".,", "")
+    tail = F.substring_index(F.translate(price, ",", "."), ".", -1)
+    head_length = F.length(price) - F.length(tail) - 1
+    mark = F.substring(price, head_length + 1, F.lit(1))
+    group_mark = F.when(mark == ",", ".").otherwise(",")
+    head = F.replace(F.substring(price, F.lit(1), head_length), group_mark, F.lit(""))
+    only_groups = (F.length(tail) == 3) & tail.rlike("^[0-9]{3}$")
+    plain = F.when((head_length < 0) | only_groups, digits).otherwise(F.concat(head, F.lit("."), tail))
+    return to_double(plain)
 
 
 def usd_price(price: Column | str, rate: Column | str) -> Column:

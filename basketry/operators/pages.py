@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from basketry.functions.business import page_problem
+from basketry.functions.jsontext import once
 from basketry.functions.text import as_column
 from basketry.sources.schemas import PRODUCT_COLUMNS
 
@@ -40,18 +41,20 @@ def embedded_json(html: Column | str, marker: str = MARKER) -> Column:
     return F.to_json(F.try_parse_json(embedded_tail(html, marker)))
 
 
-def embedded_product(html: Column | str) -> Column:
-    """The fields of the embedded object as a struct; null if there is none."""
-    tail = embedded_tail(html)
-    parsed = F.from_json(
-        tail, _EMBEDDED, {"columnNameOfCorruptRecord": "_broken", "allowSingleQuotes": "false"}
-    )
-    empty = tail.rlike(r"^\{\s*\}")
-    return F.when(parsed["_broken"].isNull() & ~empty, parsed)
+def with_product_data(stored: DataFrame, name: str = "data") -> DataFrame:
+    """Adds the fields of the object embedded in ``html`` as a struct; null if there is none.
+
+    Cut and parsed once a page, however many of the fields are used.
+    """
+    tailed = stored.select("*", once(embedded_tail("html")).alias("__tail"))
+    options = {"columnNameOfCorruptRecord": "_broken", "allowSingleQuotes": "false"}
+    parsed = tailed.select("*", once(F.from_json("__tail", _EMBEDDED, options)).alias("__parsed"))
+    usable = F.col("__parsed._broken").isNull() & ~F.col("__tail").rlike(r"^\{\s*\}")
+    return parsed.withColumn(name, F.when(usable, F.col("__parsed"))).drop("__tail", "__parsed")
 
 
 def product_record(data: Column, product_id: Column | str, url: Column, domain: Column | str) -> list[Column]:
-    """The 21 product columns from ``embedded_product``; a missing id falls back to the input."""
+    """The 21 product columns from ``with_product_data``; a missing id falls back to the input."""
     attributes = data["attributes"]
     derived = {
         "product_id": F.coalesce(data["product_id"], as_column(product_id)),

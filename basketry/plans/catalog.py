@@ -88,7 +88,7 @@ def parse_pages(stored: DataFrame) -> DataFrame:
     """Outcome and 21 product columns for stored pages (product_id, domain, attempt, html)."""
     data = F.col("data")
     return (
-        stored.select("*", once(pages.embedded_product("html")).alias("data"))
+        pages.with_product_data(stored)
         .select(
             *pages.product_record(
                 data, F.col("product_id"), catalog_url("domain", "product_id"), "domain"

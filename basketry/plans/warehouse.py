@@ -12,111 +12,93 @@ from basketry.plans import dims, facts, mart, staging
 from basketry.session import cut_lineage
 from basketry.sinks.merge import merge_into_table
 from basketry.sinks.writers import publish_view, save_table, table_or_none
+from basketry.sources.readers import Registry
 
-STAGING, CORE, MART = "stg", "core", "mart"
+CORE, MART = "core", "mart"
 CART = "stg_checkout_success_cart_items"
 FACT = "fact_sales_order_detail"
+RATES = "fact_exchange_rate"
+FLAT = "mart_sales_order_detail"
 
 # Row-count bounds of the sales fact in production.
 FACT_ROWS = (30_000, 50_000)
 
 
-def staging_models(events: DataFrame, ip_locations: DataFrame, raw_products: DataFrame,
-                   currency_rates: DataFrame) -> dict[str, DataFrame]:
-    return {
-        CART: staging.checkout_cart_items(events, currency_rates),
-        "stg_currency": staging.currency(events, currency_rates),
-        "stg_location": staging.location(ip_locations),
-        "stg_products": staging.products(raw_products),
-        "stg_store": staging.store(events),
-    }
+STAGING_MODELS = ["stg_checkout_success_cart_items", "stg_currency", "stg_location", "stg_products", "stg_store"]
+DIMENSIONS = ["dim_date", "dim_customer", "dim_product", "dim_location", "dim_currency", "dim_store"]
 
 
-def written_staging(*inputs: DataFrame) -> dict[str, DataFrame]:
-    """Staging models written once below the shared folder.
+def define(spark: SparkSession, events: DataFrame, ip_locations: DataFrame, raw_products: DataFrame,
+           currency_rates: DataFrame) -> Registry:
+    """All models by name, each built when first referred to.
 
-    Cart items feed three models and would be parsed three times.  The lookups are written
-    because a table on disk has a size: Spark then broadcasts a small one to the fact
-    rows instead of shuffling these by a key such as the currency, of which one value
-    may cover a third of them.
+    Staging models are written once below the shared folder.  Cart items feed three
+    models and would be parsed three times; and lookups on disk have a size, so Spark
+    broadcasts a small one to the fact rows instead of shuffling these by a key such as
+    the currency, of which one value may cover a third of them.  Products are a plain
+    scan of the raw table and need no copy.
     """
-    models = staging_models(*inputs)
-    return {n: df if n == "stg_products" else cut_lineage(df, n) for n, df in models.items()}
-
-
-def core_models(stg: dict[str, DataFrame], currency_rates: DataFrame) -> dict[str, DataFrame]:
-    cart = stg[CART]
-    core = {
-        "dim_date": dims.date(cart),
-        "dim_customer": dims.customer(cart),
-        "dim_product": dims.product(stg["stg_products"]),
-        "dim_location": dims.location(stg["stg_location"]),
-        "dim_currency": dims.currency(stg["stg_currency"]),
-        "dim_store": dims.store(stg["stg_store"]),
-    }
-    core["fact_exchange_rate"] = facts.exchange_rate(
-        core["dim_date"], core["dim_currency"], currency_rates
-    )
-    core[FACT] = sales_fact(stg, core["dim_currency"], currency_rates)
-    return core
-
-
-def sales_fact(stg: dict[str, DataFrame], dim_currency: DataFrame, currency_rates: DataFrame,
-               cart: DataFrame | None = None) -> DataFrame:
-    cart = stg[CART] if cart is None else cart
+    r = Registry(spark)
+
+    def written(name: str, build) -> None:
+        r.add(name, lambda: cut_lineage(build(), name))
+
+    written(CART, lambda: staging.checkout_cart_items(events, currency_rates))
+    written("stg_currency", lambda: staging.currency(events, currency_rates))
+    written("stg_location", lambda: staging.location(ip_locations))
+    written("stg_store", lambda: staging.store(events))
+    r.add("stg_products", lambda: staging.products(raw_products))
+
+    r.add("dim_date", lambda: dims.date(r[CART]))
+    r.add("dim_customer", lambda: dims.customer(r[CART]))
+    r.add("dim_product", lambda: dims.product(r["stg_products"]))
+    r.add("dim_location", lambda: dims.location(r["stg_location"]))
+    r.add("dim_currency", lambda: dims.currency(r["stg_currency"]))
+    r.add("dim_store", lambda: dims.store(r["stg_store"]))
+    r.add(RATES, lambda: facts.exchange_rate(r["dim_date"], r["dim_currency"], currency_rates))
+    r.add(FACT, lambda: sales_fact(r, r[CART], currency_rates))
+    r.add(FLAT, lambda: mart.sales_mart(
+        r[FACT], r["dim_date"], r["dim_product"], r["dim_location"], r["dim_currency"], r["dim_store"]))
+    return r
+
+
+def sales_fact(r: Registry, cart: DataFrame, currency_rates: DataFrame) -> DataFrame:
     return facts.sales_order_detail(
-        cart, stg["stg_location"], dim_currency, stg["stg_store"], stg["stg_products"], currency_rates
-    )
-
-
-def mart_model(core: dict[str, DataFrame]) -> DataFrame:
-    return mart.sales_mart(
-        core[FACT], core["dim_date"], core["dim_product"], core["dim_location"],
-        core["dim_currency"], core["dim_store"],
-    )
+        cart, r["stg_location"], r["dim_currency"], r["stg_store"], r["stg_products"], currency_rates)
 
 
 def build(spark: SparkSession, events: DataFrame, ip_locations: DataFrame, raw_products: DataFrame,
           currency_rates: DataFrame, *, incremental: bool = False,
-          as_of: datetime.date | None = None) -> dict[str, DataFrame]:
-    """Build all tables and return them, read back.
+          as_of: datetime.date | None = None) -> Registry:
+    """Build all tables; the registry then refers to what was saved.
 
-    Every table is checked against its contract before it is written.
-    An incremental run merges the look-back window into the fact; the first run, and
-    one that is not incremental, replaces it.
+    Every table is checked against its contract before it is written.  An incremental
+    run merges the look-back window into the fact; the first run, and one that is not
+    incremental, replaces it.
     """
-    stg = written_staging(events, ip_locations, raw_products, currency_rates)
-    for name, df in stg.items():
-        publish_view(df, name)
-
-    core = {}
-    for name, df in core_models(stg, currency_rates).items():
-        if name == FACT:
-            continue
-        core[name] = spark.table(save_table(enforce_contract(df, name), CORE, name))
-
-    cart = stg[CART]
-    update = incremental and table_or_none(spark, f"{CORE}.{FACT}") is not None
-    fact = enforce_contract(
-        sales_fact(stg, core["dim_currency"], currency_rates,
-                   facts.recent(cart, as_of) if update else cart),
-        FACT,
-    )
-    if update:
-        merge_into_table(fact, CORE, FACT, facts.MERGE_KEYS)
-    else:
-        save_table(fact, CORE, FACT)
-    core[FACT] = spark.table(f"{CORE}.{FACT}")
+    r = define(spark, events, ip_locations, raw_products, currency_rates)
+    for name in STAGING_MODELS:
+        publish_view(r[name], name)
+
+    def save(layer: str, name: str) -> None:
+        r.put(name, spark.table(save_table(enforce_contract(r[name], name), layer, name)))
 
-    flat = enforce_contract(mart_model(core), "mart_sales_order_detail")
-    core["mart_sales_order_detail"] = spark.table(save_table(flat, MART, "mart_sales_order_detail"))
-    return {**stg, **core}
+    for name in [*DIMENSIONS, RATES]:
+        save(CORE, name)
+
+    if incremental and table_or_none(spark, f"{CORE}.{FACT}") is not None:
+        batch = sales_fact(r, facts.recent(r[CART], as_of), currency_rates)
+        merge_into_table(enforce_contract(batch, FACT), CORE, FACT, facts.MERGE_KEYS)
+        r.put(FACT, spark.table(f"{CORE}.{FACT}"))
+    else:
+        save(CORE, FACT)
+    save(MART, FLAT)
+    return r
 
 
-def declared_tests(t: dict[str, DataFrame], currency_rates: DataFrame) -> dict[str, DataFrame]:
+def declared_tests(models: Registry, currency_rates: DataFrame) -> dict[str, DataFrame]:
     """The warehouse's data tests by name; each DataFrame holds the offending rows."""
     q = quality
-    fact, flat = t[FACT], t["mart_sales_order_detail"]
     not_null = {
         "seed": ["currency_symbol", "currency_code", "rate_to_usd"],
         CART: ["order_id", "product_id", "event_timestamp"],
@@ -127,20 +109,20 @@ def declared_tests(t: dict[str, DataFrame], currency_rates: DataFrame) -> dict[s
         "dim_product": ["product_key"], "dim_location": ["location_key"],
         "dim_currency": ["currency_key", "currency_code"],
         "dim_store": ["store_key", "store_id", "store_domain"],
-        "fact_exchange_rate": ["exchange_rate_key", "date_key", "currency_key", "rate_to_usd"],
+        RATES: ["exchange_rate_key", "date_key", "currency_key", "rate_to_usd"],
         FACT: ["detail_key", "customer_key", "product_key", "location_key", "currency_key",
                "store_key", "date_key", "sales_amount", "sales_local_price", "sales_usd_price"],
-        "mart_sales_order_detail": ["detail_key"],
+        FLAT: ["detail_key"],
     }
     unique = {
         "seed": "currency_symbol", "stg_products": "product_id", "stg_store": "store_id",
         "dim_date": "date_key", "dim_customer": "customer_key", "dim_product": "product_key",
         "dim_location": "location_key", "dim_currency": "currency_key", "dim_store": "store_key",
-        "fact_exchange_rate": "exchange_rate_key", FACT: "detail_key",
-        "mart_sales_order_detail": "detail_key",
+        RATES: "exchange_rate_key", FACT: "detail_key",
+        FLAT: "detail_key",
     }
     parents = {
-        "fact_exchange_rate": {"date_key": "dim_date", "currency_key": "dim_currency"},
+        RATES: {"date_key": "dim_date", "currency_key": "dim_currency"},
         FACT: {"customer_key": "dim_customer", "location_key": "dim_location",
                "currency_key": "dim_currency", "store_key": "dim_store", "date_key": "dim_date"},
     }
@@ -148,11 +130,12 @@ def declared_tests(t: dict[str, DataFrame], currency_rates: DataFrame) -> dict[s
         "dim_date": {"day_of_week": (1, 7), "month_number": (1, 12), "quarter_number": (1, 4)},
         "dim_product": {c: (0, None) for c in
                         ("product_base_price", "product_min_price", "product_max_price")},
-        "fact_exchange_rate": {"rate_to_usd": (0, None)},
+        RATES: {"rate_to_usd": (0, None)},
         FACT: {c: (0, None) for c in ("sales_amount", "sales_local_price", "sales_usd_price")},
-        "mart_sales_order_detail": {"total_revenue_usd": (0, None)},
+        FLAT: {"total_revenue_usd": (0, None)},
     }
-    t = {**t, "seed": currency_rates}
+    t = {m: models[m] for m in [*STAGING_MODELS, *DIMENSIONS, RATES, FACT, FLAT]}
+    t["seed"] = currency_rates
     genders = ["Female", "Male", "Kids", "Unknown"]
     checks = {f"{m}.{c} not null": q.not_null(t[m], c) for m, cs in not_null.items() for c in cs}
     checks |= {f"{m}.{c} unique": q.unique(t[m], c) for m, c in unique.items()}
@@ -178,8 +161,8 @@ def declared_tests(t: dict[str, DataFrame], currency_rates: DataFrame) -> dict[s
         "dim_location place unique": q.duplicate_keys(
             t["dim_location"],
             ["location_country_name", "location_region_name", "location_city_name"]),
-        "fact row count": q.row_count_between(fact, *FACT_ROWS),
+        "fact row count": q.row_count_between(t[FACT], *FACT_ROWS),
         "no duplicate order and product": q.duplicate_keys(
             t[CART], ["order_id", "product_id"]),
-        "mart has the rows of the fact": q.same_row_count(fact, flat, "fact_count", "mart_count"),
+        "mart has the rows of the fact": q.same_row_count(t[FACT], t[FLAT], "fact_count", "mart_count"),
     }

@@ -53,14 +53,14 @@ def shared_root(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``.  Only a local session without
     that setting falls back to a temporary folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        root = tempfile.mkdtemp(prefix="basketry-shared-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        return root
-    raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if root is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="basketry-shared-"))
+        root = context.getCheckpointDir()
+    return root.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -45,9 +45,13 @@ def replace_rows(df: DataFrame, path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str, columns: list[str] | None = None) -> None:
-    """CSV with header; a fixed column list keeps the header even without rows."""
+    """CSV with header; a fixed column list keeps the header even without rows.
+
+    Blanks at the ends of values are kept, which Spark's writer does not do by itself.
+    """
     out = df.select(*columns) if columns else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+    (out.write.mode("overwrite").option("header", True)
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def split_rows(df: DataFrame, failed: Column) -> tuple[DataFrame, DataFrame]:

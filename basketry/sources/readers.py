@@ -50,11 +50,11 @@ def bundled_rate_rows() -> list[tuple[str, str, str, float]]:
 
 def bundled_currency_rates(spark: SparkSession) -> DataFrame:
     """The bundled seed as literals in the plan, so executors need no local file."""
-    names = schemas.CURRENCY_RATES.names
-    rows = [
-        F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in bundled_rate_rows()
-    ]
-    return spark.range(1).select(F.inline(F.array(*rows)))
+    rows = ", ".join(
+        "(" + ", ".join("'" + text.replace("'", "''") + "'" for text in row[:3]) + f", {row[3]!r}D)"
+        for row in bundled_rate_rows()
+    )
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS rates({', '.join(schemas.CURRENCY_RATES.names)})")
 
 
 def read_product_urls(spark: SparkSession, path: str) -> DataFrame:
@@ -117,7 +117,10 @@ def route_column(path: str = "_metadata.file_path", root: str = "") -> "F.Column
 
 
 class Registry:
-    """Named DataFrames: sources by table name, models by the function that builds them."""
+    """Named DataFrames: sources by table name, models by the function that builds them.
+
+    A model is built when it is first referred to, and once.
+    """
 
     def __init__(self, spark: SparkSession, database: str | None = None):
         self.spark = spark
@@ -128,6 +131,10 @@ class Registry:
     def add(self, name: str, build: Callable[[], DataFrame]) -> None:
         self._builders[name] = build
 
+    def put(self, name: str, df: DataFrame) -> None:
+        """Let later references see ``df``, such as the table a model was saved to."""
+        self._built[name] = df
+
     def source(self, table: str) -> DataFrame:
         return self.spark.table(f"{self.database}.{table}" if self.database else table)
 
@@ -135,3 +142,5 @@ class Registry:
         if name not in self._built:
             self._built[name] = self._builders[name]()
         return self._built[name]
+
+    __getitem__ = ref
