@@ -361,12 +361,15 @@ def _(i):
     return quality.row_count_between(i.table("orders"), 100, 1000)
 
 
-@case("dq11_dq12_contract", """
-SELECT * FROM (VALUES ('missing column store_domain'), ('unexpected column domain'),
-                      ('column store_id is string, not bigint')) v(difference)""")
+@case("dq11_dq12_contract", query("""
+SELECT difference, count(*) AS affected_rows FROM dim_store, (VALUES ('missing column store_domain'),
+  ('unexpected column domain'), ('column store_id is string, not bigint')) v(difference) GROUP BY difference"""))
 def _(i):
     wrong = dims.store(i.models["stg_store"]).withColumn("store_id", F.col("store_id").cast("string"))
-    return quality.contract_report(wrong.withColumnRenamed("store_domain", "domain"), schemas.contract("dim_store"))
+    wrong = wrong.withColumnRenamed("store_domain", "domain")
+    found = quality.schema_differences(wrong, schemas.contract("dim_store"))
+    rows = wrong.agg(F.count(F.lit(1)).alias("affected_rows"))
+    return rows.select(F.explode(F.array(*[F.lit(d) for d in found])).alias("difference"), "affected_rows")
 
 
 @case("dq_declared_tests", None)

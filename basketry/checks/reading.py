@@ -113,10 +113,14 @@ def _(i):
 @case("src9_srt1_column_catalog", """
 SELECT CAST(row_number() OVER () AS INTEGER) AS ordinal_position, column_name,
        CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
-            WHEN 'VARCHAR' THEN 'string' ELSE 'timestamp_ntz' END AS data_type, 'YES' AS is_nullable
-FROM (DESCRIBE SELECT * FROM lineitem)""")
+            WHEN 'VARCHAR' THEN 'string' ELSE 'timestamp_ntz' END AS data_type, 'YES' AS is_nullable,
+       (SELECT count(*) FROM orders) AS total
+FROM (DESCRIBE SELECT * FROM orders)""")
 def _(i):
-    return readers.describe_columns(i.table("lineitem"))
+    orders = i.table("orders")
+    counted = profile.profile_columns(orders, orders.columns, approximate=True).select(
+        F.col("field").alias("column_name"), "total")
+    return readers.describe_columns(orders).join(counted, "column_name").orderBy("ordinal_position")
 
 
 @case("snk1_snk2_export_parts", query("""

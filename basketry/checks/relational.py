@@ -64,15 +64,14 @@ def _(i):
     return i.table("customer").select("c_custkey", F.lit(None).cast("date").alias("end_date"))
 
 
-@case("prj7_contract_order", """
-SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS pos, name FROM (SELECT unnest(
-  ['currency_key', 'currency_code', 'currency_name', 'inserted_date', 'inserted_by', 'updated_date', 'updated_by']) AS name)""")
+@case("prj7_contract_order", query("""
+SELECT currency_key || '|' || currency_code || '|' || currency_name AS line FROM dim_cur"""))
 def _(i):
     shuffled = dims.currency(staging.currency(i.events, i.rates)).select(
         "updated_by", "currency_name", "inserted_date", "currency_code", "updated_date",
         "inserted_by", "currency_key")
-    ordered = quality.enforce_contract(shuffled, "dim_currency")
-    return ordered.limit(1).select(F.posexplode(F.array(*[F.lit(c) for c in ordered.columns])).alias("pos", "name"))
+    ordered = quality.enforce_contract(shuffled, "dim_currency").drop(*dims.AUDIT)
+    return ordered.select(F.concat_ws("|", *ordered.columns).alias("line"))
 
 
 # ---- filters -----------------------------------------------------------------------------

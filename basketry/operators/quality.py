@@ -107,12 +107,6 @@ def enforce_contract(df: DataFrame, table: str) -> DataFrame:
     return df.select(*expected.names)
 
 
-def contract_report(df: DataFrame, expected: T.StructType) -> DataFrame:
-    """The differences as rows (difference string)."""
-    lines = F.array(*[F.lit(d) for d in schema_differences(df, expected)]).cast("array<string>")
-    return df.sparkSession.range(1).select(F.explode(lines).alias("difference"))
-
-
 def failing_rows(checks: dict[str, DataFrame]) -> DataFrame:
     """(check, failures) for a set of named tests."""
     counted = [

@@ -22,7 +22,8 @@ def merge_by_key(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFr
     if differences:
         raise SchemaChanged("; ".join(differences))
     incoming = batch.select(*keys).dropDuplicates(keys)
-    return target.join(incoming, keys, "left_anti").unionByName(batch)
+    kept = target.join(incoming, keys, "left_anti").select(*target.columns)
+    return kept.unionByName(batch)
 
 
 def merge_into_table(batch: DataFrame, layer: str, table: str, keys: list[str]) -> str:
@@ -50,7 +51,7 @@ def merge_into_partitions(batch: DataFrame, path: str, keys: list[str], partitio
 
     Touched are the partitions the batch writes to, and those that hold a row it
     replaces.  Both come from a distinct over the partition column, one value a day.
-    The new rows are checkpointed before anything is overwritten.
+    The new rows are written to the shared folder before anything is overwritten.
     """
     spark = batch.sparkSession
     batch = cut_lineage(batch)

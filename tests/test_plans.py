@@ -128,7 +128,7 @@ def _shuffle_records(df):
         if name == "AdaptiveSparkPlan":
             stack.append(node.executedPlan())
             continue
-        if name in ("ShuffleQueryStage", "BroadcastQueryStage"):
+        if name in ("ShuffleQueryStage", "BroadcastQueryStage", "ResultQueryStage"):
             stack.append(node.plan())
             continue
         metrics = node.metrics()
