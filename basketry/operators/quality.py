@@ -4,13 +4,41 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from basketry.sources.schemas import contract
 
 
+# Conditions that a broken row fulfils; null values break nothing but ``is_missing``.
+
+def is_missing(column: str) -> Column:
+    return F.col(column).isNull()
+
+
+def is_unexpected(column: str, values: Iterable) -> Column:
+    return ~F.col(column).isin(list(values))
+
+
+def is_outside(column: str, low=None, high=None, *, strictly: bool = False) -> Column:
+    """Outside the bounds, which belong to the range unless ``strictly``."""
+    value, broken = F.col(column), F.lit(False)
+    if low is not None:
+        broken = broken | ((value <= low) if strictly else (value < low))
+    if high is not None:
+        broken = broken | ((value >= high) if strictly else (value > high))
+    return broken
+
+
+def is_unlike(column: str, pattern: str) -> Column:
+    return ~F.col(column).rlike(pattern)
+
+
+def has_other_length(column: str, length: int) -> Column:
+    return F.length(column) != length
+
+
 def not_null(df: DataFrame, column: str) -> DataFrame:
-    return df.where(F.col(column).isNull())
+    return df.where(is_missing(column))
 
 
 def unique(df: DataFrame, columns: str | list[str]) -> DataFrame:
@@ -27,8 +55,7 @@ def duplicate_keys(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def accepted_values(df: DataFrame, column: str, values: Iterable, *, where: str | None = None) -> DataFrame:
-    """Values outside the set; null passes."""
-    return _scope(df, where).where(~F.col(column).isin(list(values)))
+    return _scope(df, where).where(is_unexpected(column, values))
 
 
 def relationship(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
@@ -42,21 +69,15 @@ def relationship(child: DataFrame, column: str, parent: DataFrame, parent_column
 
 def between(df: DataFrame, column: str, low=None, high=None, *, strictly: bool = False,
             where: str | None = None) -> DataFrame:
-    """Values outside the bounds (bounds belong to the range unless ``strictly``)."""
-    value, broken = F.col(column), F.lit(False)
-    if low is not None:
-        broken = broken | ((value <= low) if strictly else (value < low))
-    if high is not None:
-        broken = broken | ((value >= high) if strictly else (value > high))
-    return _scope(df, where).where(broken)
+    return _scope(df, where).where(is_outside(column, low, high, strictly=strictly))
 
 
 def matches(df: DataFrame, column: str, pattern: str, *, where: str | None = None) -> DataFrame:
-    return _scope(df, where).where(~F.col(column).rlike(pattern))
+    return _scope(df, where).where(is_unlike(column, pattern))
 
 
 def length_is(df: DataFrame, column: str, length: int, *, where: str | None = None) -> DataFrame:
-    return _scope(df, where).where(F.length(column) != length)
+    return _scope(df, where).where(has_other_length(column, length))
 
 
 def row_count_between(df: DataFrame, low: int, high: int) -> DataFrame:
@@ -107,13 +128,26 @@ def enforce_contract(df: DataFrame, table: str) -> DataFrame:
     return df.select(*expected.names)
 
 
-def failing_rows(checks: dict[str, DataFrame]) -> DataFrame:
-    """(check, failures) for a set of named tests."""
-    counted = [
+def count_broken(df: DataFrame, conditions: dict[str, Column]) -> DataFrame:
+    """(check, failures) of any number of row conditions, from one pass over the table."""
+    names = list(conditions)
+    counts = df.agg(*[F.count_if(conditions[name]).alias(f"f{i}") for i, name in enumerate(names)])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("check"), F.col(f"f{i}").alias("failures"))
+        for i, name in enumerate(names)
+    ])))
+
+
+def count_rows(checks: dict[str, DataFrame]) -> list[DataFrame]:
+    """(check, failures) per test that yields its offending rows."""
+    return [
         rows.agg(F.count(F.lit(1)).alias("failures")).select(F.lit(name).alias("check"), "failures")
         for name, rows in checks.items()
     ]
-    report = counted[0]
-    for part in counted[1:]:
+
+
+def one_report(parts: list[DataFrame]) -> DataFrame:
+    report = parts[0]
+    for part in parts[1:]:
         report = report.unionAll(part)
     return report

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from basketry.operators import quality
 from basketry.operators.quality import enforce_contract
@@ -96,8 +96,12 @@ def build(spark: SparkSession, events: DataFrame, ip_locations: DataFrame, raw_p
     return r
 
 
-def declared_tests(models: Registry, currency_rates: DataFrame) -> dict[str, DataFrame]:
-    """The warehouse's data tests by name; each DataFrame holds the offending rows."""
+def quality_report(models: Registry, currency_rates: DataFrame) -> DataFrame:
+    """(check, failures) of all data tests of the warehouse.
+
+    Conditions on single rows share one pass per table; keys, references and counts
+    take one each.
+    """
     q = quality
     not_null = {
         "seed": ["currency_symbol", "currency_code", "rate_to_usd"],
@@ -137,32 +141,33 @@ def declared_tests(models: Registry, currency_rates: DataFrame) -> dict[str, Dat
     t = {m: models[m] for m in [*STAGING_MODELS, *DIMENSIONS, RATES, FACT, FLAT]}
     t["seed"] = currency_rates
     genders = ["Female", "Male", "Kids", "Unknown"]
-    checks = {f"{m}.{c} not null": q.not_null(t[m], c) for m, cs in not_null.items() for c in cs}
-    checks |= {f"{m}.{c} unique": q.unique(t[m], c) for m, c in unique.items()}
+    genders = ["Female", "Male", "Kids", "Unknown"]
+    conditions: dict[str, dict] = {m: {} for m in t}
+    for m, columns in not_null.items():
+        conditions[m] |= {f"{m}.{c} not null": q.is_missing(c) for c in columns}
+    for m, columns in bounds.items():
+        conditions[m] |= {f"{m}.{c} between": q.is_outside(c, *b) for c, b in columns.items()}
+    conditions["seed"]["seed.rate_to_usd above 0"] = q.is_outside("rate_to_usd", 0, strictly=True)
+    for m in ("stg_products", "dim_product"):
+        conditions[m][f"{m}.product_gender accepted"] = q.is_unexpected("product_gender", genders)
+    conditions["dim_customer"]["dim_customer.customer_email_address hashed"] = (
+        (F.col("customer_key") != -1) & q.is_unlike("customer_email_address", r"^[a-f0-9]{64}$"))
+    conditions["dim_location"]["dim_location.location_country_code length"] = (
+        (F.col("location_key") != -1) & q.has_other_length("location_country_code", 2))
+    conditions["dim_currency"]["dim_currency.currency_code length"] = q.has_other_length("currency_code", 3)
+
+    checks = {f"{m}.{c} unique": q.unique(t[m], c) for m, c in unique.items()}
     checks |= {
         f"{m}.{c} in {p}": q.relationship(t[m], c, t[p], c)
         for m, cs in parents.items() for c, p in cs.items()
     }
     checks |= {
-        f"{m}.{c} between": q.between(t[m], c, *b) for m, cs in bounds.items() for c, b in cs.items()
-    }
-    return checks | {
-        "seed.rate_to_usd above 0": q.between(t["seed"], "rate_to_usd", 0, strictly=True),
-        "stg_products.product_gender accepted": q.accepted_values(
-            t["stg_products"], "product_gender", genders),
-        "dim_product.product_gender in set": q.accepted_values(
-            t["dim_product"], "product_gender", genders),
-        "dim_customer.customer_email_address hashed": q.matches(
-            t["dim_customer"], "customer_email_address", r"^[a-f0-9]{64}$",
-            where="customer_key <> -1"),
-        "dim_location.location_country_code length": q.length_is(
-            t["dim_location"], "location_country_code", 2, where="location_key <> -1"),
-        "dim_currency.currency_code length": q.length_is(t["dim_currency"], "currency_code", 3),
         "dim_location place unique": q.duplicate_keys(
             t["dim_location"],
             ["location_country_name", "location_region_name", "location_city_name"]),
         "fact row count": q.row_count_between(t[FACT], *FACT_ROWS),
-        "no duplicate order and product": q.duplicate_keys(
-            t[CART], ["order_id", "product_id"]),
+        "no duplicate order and product": q.duplicate_keys(t[CART], ["order_id", "product_id"]),
         "mart has the rows of the fact": q.same_row_count(t[FACT], t[FLAT], "fact_count", "mart_count"),
     }
+    per_table = [q.count_broken(t[m], c) for m, c in conditions.items() if c]
+    return q.one_report(per_table + q.count_rows(checks))
