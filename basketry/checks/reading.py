@@ -237,7 +237,8 @@ def _(i):
 @case("snk14_snk16_layered_table", query("SELECT store_key, store_id, store_domain FROM dim_store"))
 def _(i):
     # " core " routes to database core, as layer names are trimmed.
-    name = writers.save_table(dims.store(staging.store(i.events)), " core ", "dim_store_check")
+    name = writers.save_table(dims.store(staging.store(i.events)), " core ", "dim_store_check",
+                              path=fresh_path(i.spark, "dim_store"))
     assert name == "core.dim_store_check" and writers.layer_table(None, "t") == "default.t"
     return i.spark.table(name).drop(*dims.AUDIT)
 
@@ -264,8 +265,8 @@ UNION ALL SELECT * FROM o WHERE order_date < DATE '1999-07-01' OR (order_id IS N
 def _(i):
     target, batch = _order_versions(i)
     keys = ["order_id", "product_id"]
-    name = writers.save_table(target, "core", "merge_check")
-    merge.merge_into_table(batch, "core", "merge_check", keys)
+    name = writers.save_table(target, "core", "merge_check", path=fresh_path(i.spark, "target"))
+    merge.merge_into_table(batch, "core", "merge_check", keys, path=fresh_path(i.spark, "merged"))
     return i.spark.table(name)
 
 

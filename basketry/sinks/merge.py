@@ -26,19 +26,22 @@ def merge_by_key(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFr
     return kept.unionByName(batch)
 
 
-def merge_into_table(batch: DataFrame, layer: str, table: str, keys: list[str]) -> str:
-    """Merge into a table, or create it.
+def merge_into_table(batch: DataFrame, layer: str, table: str, keys: list[str], *,
+                     path: str | None = None) -> str:
+    """Merge into a table, or create it; ``path`` is a new folder for the merged rows.
 
-    The merged rows are written beside the table and take its name at the end, so a
-    failure at any point leaves either the old or the new table behind.
+    The merged rows are written beside the table and take its name at the end.  Should
+    the run stop between the two renames, the next one first puts the old table back.
     """
     spark = batch.sparkSession
     name = layer_table(layer, table)
     target = table_or_none(spark, name)
+    if target is None and spark.catalog.tableExists(f"{name}__old"):
+        spark.sql(f"ALTER TABLE {name}__old RENAME TO {name}")
+        target = spark.table(name)
     if target is None:
-        return save_table(batch, layer, table)
-    merged = merge_by_key(target, batch, keys)
-    save_table(merged, layer, f"{table}__next")
+        return save_table(batch, layer, table, path=path)
+    save_table(merge_by_key(target, batch, keys), layer, f"{table}__next", path=path)
     spark.sql(f"DROP TABLE IF EXISTS {name}__old")
     spark.sql(f"ALTER TABLE {name} RENAME TO {name}__old")
     spark.sql(f"ALTER TABLE {name}__next RENAME TO {name}")

@@ -75,13 +75,18 @@ def layer_table(layer: str | None, table: str, default: str = "default") -> str:
 
 
 def save_table(df: DataFrame, layer: str | None, table: str, *,
-               partition_by: list[str] | None = None) -> str:
-    """Replace a managed table in the database of its layer."""
+               partition_by: list[str] | None = None, path: str | None = None) -> str:
+    """Replace a table in the database of its layer.
+
+    Without a ``path`` the table is managed and lies in the warehouse folder.
+    """
     name = layer_table(layer, table)
     df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.')[0]}")
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if path:
+        writer = writer.option("path", path)
     writer.saveAsTable(name)
     return name
 

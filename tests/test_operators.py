@@ -143,6 +143,15 @@ def test_merge_twice_changes_nothing_but_unkeyed_rows(spark):
         merge.merge_by_key(target, batch.drop("v"), keys)
 
 
+def test_an_interrupted_merge_is_taken_up_again(spark):
+    schema = "k bigint, v int"
+    writers.save_table(spark.createDataFrame([(1, 0), (2, 0)], schema), "core", "torn")
+    spark.sql("ALTER TABLE core.torn RENAME TO core.torn__old")  # stopped between the renames
+    merge.merge_into_table(spark.createDataFrame([(2, 5)], schema), "core", "torn", ["k"])
+    assert rows(spark.table("core.torn")) == [(1, 0), (2, 5)]
+    assert not spark.catalog.tableExists("core.torn__old")
+
+
 def test_partition_merge_rewrites_touched_partitions_only(spark):
     path = fresh_path(spark, "t")
     schema = "order_id bigint, v int, date_key bigint"
