@@ -7,7 +7,7 @@ import re
 from collections.abc import Callable
 from importlib import resources
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from basketry.sources import schemas
 
@@ -107,7 +107,7 @@ def table_for_path(name: str) -> str | None:
     return next((t for prefix, t in PATH_TABLES.items() if name.startswith(prefix)), None)
 
 
-def route_column(path: str = "_metadata.file_path", root: str = "") -> "F.Column":
+def route_column(path: str = "_metadata.file_path", root: str = "") -> Column:
     """The same routing as a Column, for listings held in a DataFrame."""
     name = F.regexp_replace(F.col(path), "^" + re.escape(root), "")
     route = F.lit(None).cast("string")
