@@ -33,7 +33,7 @@ based AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_
                  greatest(n_words, 1)::DOUBLE AS nw, greatest(n_lines, 1)::DOUBLE AS nl FROM measured)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND word_chars / nw BETWEEN 2.0 AND 20.0 AND n_symbols / nw <= 0.1 AND n_stop / nw >= 0.06
-       AND n_dup_lines / nl <= 0.3 AND n_cut / nl <= 0.3 AND n_listed / nl <= 0.9 AS kept
+       AND n_dup_lines / nl <= 0.5 AND n_cut / nl <= 0.3 AND n_listed / nl <= 0.9 AS kept
 FROM based"""
 
 

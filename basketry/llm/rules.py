@@ -47,7 +47,7 @@ RULES = (
     Rule("mean_word_length", "word_chars", "n_words", least=2.0, most=20.0),
     Rule("symbols_per_word", "n_symbols", "n_words", most=0.1),
     Rule("stop_words", "n_stop_words", "n_words", least=0.06),
-    Rule("repeated_lines", "n_dup_lines", "n_lines", most=0.3),
+    Rule("repeated_lines", "n_dup_lines", "n_lines", most=0.5),
     Rule("lines_cut_short", "n_ellipsis_lines", "n_lines", most=0.3),
     Rule("listed_lines", "n_bullet_lines", "n_lines", most=0.9),
 )

@@ -5,7 +5,8 @@ lowest hash of their id); its features are counted in Spark, its weights are lea
 with a learning rate per coordinate, and L1 leaves so few of them that they are broadcast.
 
 Null and empty texts have no features and get the score of the bias alone.  Rows whose label
-or id is null are not learned from; ids labelled twice count as toxic if one label says so.
+or id is null are not learned from; ids and texts labelled twice count as toxic if one label
+says so.
 Without any labelled row every score is `PRIOR`.  Long texts are read whole.  `score` is a
 column function, so other columns, repeated rows and ties are left as they are.
 """
@@ -26,8 +27,8 @@ from basketry.llm.common import remainder
 
 BITS = 20  # of a feature's number
 SAMPLE = 8000  # labelled documents learned from, at most
-EPOCHS = 4
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 4.0, 1.0
+EPOCHS = 2
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 5.0, 1.0
 PRIOR = 0.01
 LEVEL = 0.3  # scores from here on are toxic
 MEMO = 500_000  # words a task remembers the hash of
@@ -130,7 +131,12 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     ids = gathered["id"].to_numpy()
     order = np.lexsort((ids, [zlib.crc32(str(i).encode()) for i in ids])) if len(ids) else []
     features, label_of = gathered["features"], gathered["label"].to_numpy()
-    return fit([(np.asarray(features[int(i)].values, np.int64), int(label_of[i])) for i in order])
+    examples: dict[bytes, tuple[np.ndarray, int]] = {}  # a copied text is one example
+    for i in order:
+        found = np.asarray(features[int(i)].values, np.int64)
+        _, known = examples.get(found.tobytes(), (None, 0))
+        examples[found.tobytes()] = found, max(known, int(label_of[i]))
+    return fit(list(examples.values()))
 
 
 def score(weights: Weights, docs: DataFrame, text: Column) -> Column:
