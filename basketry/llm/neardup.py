@@ -5,14 +5,16 @@
 2. A class with another in the same band of MinHash values is a candidate.  Bands of `ROWS`
    values, `BANDS` of them, miss a pair of similarity 0.75 with a chance of 2 in a million.
 3. In each band's bucket, all members of other components are compared with one leader, and
-   the links found are contracted into components; this is repeated with other leaders while
-   buckets hold more pairs across components than members.  Then every pair across components
-   that is left in a bucket, between the smaller components and all others, is compared, so
-   no candidate link between different components is left out, while copies of one text never
-   meet in all pairs.
+   the links found are contracted into components; this is repeated with other leaders as long
+   as it halves the pairs across components.  Then every pair across components that is left
+   in a bucket, between the smaller components and all others, is compared, so no candidate
+   link between different components is left out, while near copies never meet in all pairs.
 4. The odd sketch (MinHash samples folded into a parity bitmap) estimates the similarity of a
-   candidate from the population count of the XOR; pairs far below the threshold go.  The rest
-   is confirmed on the full shingle sets.
+   candidate from the population count of the XOR; pairs five deviations below the threshold
+   go.  A second bitmap has the parity of the whole set: its XOR never has more bits than the
+   sets differ in shingles, so pairs that exceed a seventh of both sizes go without any risk.
+   The join of a bucket tests both before it makes a pair.  The rest is confirmed on the full
+   shingle sets.
 5. Components come from star contractions of the links in Spark.
 
 Null and empty texts have an empty set and are linked with nothing.  Rows that share an id
@@ -23,7 +25,9 @@ its two columns, so other columns cannot clash; one row per input row is returne
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -37,7 +41,8 @@ SHINGLE = 5
 LEAST = 75  # percent of the union
 ROWS, BANDS = 5, 48
 SKETCH_WORDS = 16  # of 64 bits
-SKETCH_LEAST = 0.55  # estimates below this are six deviations under the threshold
+SKETCH_LEAST = 0.60  # estimates below this are five deviations under the threshold
+PARITY_WORDS = 32  # of the bitmap of the whole set
 STAR_ROUNDS = 8
 SIEVE_BITS = 1 << 26  # of the bitmap that spares texts of no candidate the shuffle: 8 MB
 MEMO = 500_000
@@ -97,24 +102,41 @@ def bands(values: np.ndarray) -> np.ndarray:
     return total.view(np.int64)
 
 
-def odd_sketch(values: np.ndarray) -> np.ndarray:
-    """Parity bitmap of the samples (number, value), as 64-bit words."""
-    place = _mix(values.astype(np.uint64) << _U64(16) | np.arange(len(values), dtype=np.uint64))
-    odd = np.bincount((place >> _U64(32)).astype(np.int64) % (64 * SKETCH_WORDS), minlength=64 * SKETCH_WORDS) & 1
+def _parity(places: np.ndarray, size: int) -> np.ndarray:
+    """Bitmap of the places that come up an odd number of times, as 64-bit words."""
+    odd = np.bincount((places >> _U64(32)).astype(np.int64) % (64 * size), minlength=64 * size) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
-def sketch_similarity(a: Column, b: Column) -> Column:
-    """Similarity estimated from the bits in which two odd sketches differ; none if there are too many."""
-    differing = F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+def odd_sketch(values: np.ndarray) -> np.ndarray:
+    """Parity bitmap of the samples (number, value)."""
+    return _parity(_mix(values.astype(np.uint64) << _U64(16) | np.arange(len(values), dtype=np.uint64)), SKETCH_WORDS)
+
+
+def set_parity(found: np.ndarray) -> np.ndarray:
+    """Parity bitmap of the whole set."""
+    return _parity(_mix(found + _U64(0x9E3779B97F4A7C15)), PARITY_WORDS)
+
+
+def _differing(a: str, b: str, size: int) -> Column:
+    return reduce(Column.__add__, [F.bit_count(F.get(F.col(a), k).bitwiseXOR(F.get(F.col(b), k))) for k in range(size)])
+
+
+def may_be_linked(a: str, b: str) -> Column:
+    """Whether two documents, told by the prefixes of their columns, may be similar enough."""
     bits, samples = 64 * SKETCH_WORDS, ROWS * BANDS
-    left = 1.0 - 2.0 * differing / F.lit(float(bits))
-    return F.when(left > 0, 1.0 + F.lit(bits / (4.0 * samples)) * F.ln(left)).otherwise(0.0)
+    # The estimate 1 + bits / (4 samples) ln(1 - 2 differing / bits) is at least SKETCH_LEAST.
+    most = (1 - math.exp((SKETCH_LEAST - 1) * 4 * samples / bits)) * bits / 2
+    sizes = F.col(f"{a}n_shingles") + F.col(f"{b}n_shingles")
+    smaller, larger = F.least(f"{a}n_shingles", f"{b}n_shingles"), F.greatest(f"{a}n_shingles", f"{b}n_shingles")
+    return (100 * smaller >= LEAST * larger) & (_differing(f"{a}sketch", f"{b}sketch", SKETCH_WORDS) <= most) & (
+        (100 + LEAST) * _differing(f"{a}parity", f"{b}parity", PARITY_WORDS) <= (100 - LEAST) * sizes)
 
 
 def sketches(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, n_shingles, set_a, set_b, bands, sketch) of each row; set_a and set_b tell equal sets."""
-    schema = ("doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sketch array<long>")
+    """(doc_id, n_shingles, set_a, set_b, bands, sketch, parity) of each row; set_a and set_b tell equal sets."""
+    schema = ("doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sketch array<long>, "
+              "parity array<long>")
 
     def sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
@@ -125,10 +147,10 @@ def sketches(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 if len(found):
                     values = signature(found)
                     digest = np.frombuffer(xxhash.xxh3_128_digest(found.tobytes()), np.int64)
-                    out.append((len(found), digest[0], digest[1], bands(values), odd_sketch(values)))
+                    out.append((len(found), digest[0], digest[1], bands(values), odd_sketch(values), set_parity(found)))
                 else:
-                    out.append((0, 0, 0, None, None))
-            made = pd.DataFrame(out, columns=["n_shingles", "set_a", "set_b", "bands", "sketch"])
+                    out.append((0, 0, 0, None, None, None))
+            made = pd.DataFrame(out, columns=["n_shingles", "set_a", "set_b", "bands", "sketch", "parity"])
             yield pd.concat([batch["doc_id"].reset_index(drop=True), made], axis=1)
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -188,18 +210,15 @@ def contract(links: DataFrame) -> DataFrame:
         before = state
 
 
-def _confirm(pairs: DataFrame, classes: DataFrame, contents: DataFrame) -> DataFrame:
+def _confirm(pairs: DataFrame, contents: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     for side in ("a", "b"):
-        pairs = pairs.join(classes.select(F.col("id").alias(side), F.col("sketch").alias(f"sketch_{side}")), side)
-    near = pairs.where(sketch_similarity(F.col("sketch_a"), F.col("sketch_b")) >= SKETCH_LEAST).select("a", "b").distinct()
-    for side in ("a", "b"):
-        near = near.join(contents.select(F.col("id").alias(side), F.col("text").alias(f"text_{side}")), side)
-    return keep(near.where(F.pandas_udf(_linked, "boolean")(F.col("text_a"), F.col("text_b"))).select("a", "b").distinct(), "confirmed")
+        pairs = pairs.join(contents.select(F.col("id").alias(side), F.col("text").alias(f"text_{side}")), side)
+    return keep(pairs.where(F.pandas_udf(_linked, "boolean")(F.col("text_a"), F.col("text_b"))).select("a", "b").distinct(), "confirmed")
 
 
 def link_classes(classes: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(node, root) of the classes that are linked with others; classes has id, bands and sketch."""
+    """(node, root) of the classes that are linked with others; classes has id, bands, n_shingles and both bitmaps."""
     buckets = classes.select("id", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     members = keep(buckets.join(shared, "bucket"), "members")
@@ -207,31 +226,34 @@ def link_classes(classes: DataFrame, docs: DataFrame, doc_id: str, text: str) ->
     contents = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).where(
         sieve(ids, docs, doc_id)).join(ids, "id", "left_semi").where("text is not null")
     contents = keep(contents, "contents")
-    thin = keep(classes.select("id", "sketch").join(ids, "id", "left_semi"), "sketches")
-    found, roots = None, None
+    marks = ["n_shingles", "sketch", "parity"]
+    thin = keep(classes.select("id", *marks).join(ids, "id", "left_semi"), "sketches")
+    found = roots = before = None
     for step in range(STAR_ROUNDS + 1):
-        placed = members.withColumn("root", F.col("id")) if roots is None else members.join(
-            roots, F.col("id") == F.col("node"), "left").select("bucket", "id", F.coalesce("root", "id").alias("root"))
-        placed = keep(placed, "placed") if roots is not None else placed
-        # Components of each bucket, and the one with most members there.
+        placed = members.withColumn("root", F.col("id")) if roots is None else keep(members.join(
+            roots, F.col("id") == F.col("node"), "left").select("bucket", "id", F.coalesce("root", "id").alias("root")), "placed")
+        # Components of each bucket, and the one with most members there, which gives the leader.
         sizes = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.min_by("id", F.xxhash64("id", F.lit(step))).alias("id"))
-        largest = sizes.groupBy("bucket").agg(
-            F.count("*").alias("parts"), F.max(F.struct("n", "root", "id")).alias("top"), F.sum("n").alias("all")).where("parts > 1")
-        open_ones = largest.select("bucket", F.col("top.root").alias("top"), F.col("top.id").alias("leader"),
-                                   (F.col("all") * (F.col("all") - F.col("top.n"))).alias("pairs"), "all")
-        open_ones = keep(open_ones, "open-buckets")
-        pairs, all_members, buckets_left = open_ones.agg(F.sum("pairs"), F.sum("all"), F.count("*")).first()
-        if not buckets_left:
+        open_ones = keep(sizes.groupBy("bucket").agg(
+            F.count("*").alias("parts"), F.max(F.struct("n", "root", "id")).alias("top"), F.sum("n").alias("all"))
+            .where("parts > 1").select("bucket", "top.root", "top.id", "top.n", "all")
+            .toDF("bucket", "top", "leader", "n", "all"), "open-buckets")
+        pairs, all_members = open_ones.agg(F.sum(F.col("all") * (F.col("all") - F.col("n"))), F.sum("all")).first()
+        if not pairs:
             break
-        rest = placed.join(open_ones, "bucket").where("root <> top")
-        last = step == STAR_ROUNDS or (step > 0 and pairs <= 2 * all_members)
+        last = step == STAR_ROUNDS or (before is not None and (pairs <= 2 * all_members or 2 * pairs > before))
+        before = pairs
+        rest = placed.join(open_ones.select("bucket", "top", "leader"), "bucket").where("root <> top").join(thin, "id").select(
+            "bucket", "leader", *[F.col(c).alias(f"a_{c}") for c in ["id", "root", *marks]])
         if last:
-            others = placed.select("bucket", F.col("id").alias("other"), F.col("root").alias("other_root"))
-            compared = rest.select("bucket", "id", "root").join(others, "bucket").where("root <> other_root").select(
-                F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
+            others = placed.join(open_ones.select("bucket"), "bucket", "left_semi").join(thin, "id").select(
+                "bucket", *[F.col(c).alias(f"b_{c}") for c in ["id", "root", *marks]])
+            compared = rest.join(others, (rest["bucket"] == others["bucket"]) & (F.col("a_root") != F.col("b_root")) & may_be_linked("a_", "b_"))
         else:
-            compared = rest.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b"))
-        links = _confirm(compared.distinct(), thin, contents)
+            leaders = thin.select(*[F.col(c).alias(f"b_{c}") for c in ["id", *marks]])
+            compared = rest.drop("bucket").distinct().join(leaders, (F.col("leader") == F.col("b_id")) & may_be_linked("a_", "b_"))
+        compared = compared.select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")).distinct()
+        links = _confirm(compared, contents)
         found = links if found is None else found.union(links)
         roots = contract(found)
         if last:
@@ -247,7 +269,8 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     sets = ["set_a", "set_b"]
     full = sketched.where("n_shingles > 0 and doc_id is not null")
     classes = keep(full.groupBy(*sets).agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands"),
-                                           F.first("sketch").alias("sketch")), "set-classes")
+                                           F.first("sketch").alias("sketch"),
+                                           F.first("parity").alias("parity"), F.first("n_shingles").alias("n_shingles")), "set-classes")
     roots = link_classes(classes, docs, doc_id, text)
     named = classes.select(*sets, "id").join(roots, F.col("id") == F.col("node"), "left").select(
         *sets, F.coalesce("root", "id").alias("component"))
