@@ -71,12 +71,8 @@ class Inputs:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def spread(self, df: DataFrame, *keys: str) -> DataFrame:
-        """Share out a table that is stored in fewer pieces than there are cores.
-
-        A large table has more pieces than that and is left as it is.
-        """
-        cores = self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+        """Share out a table by its keys, into as many pieces as any other shuffle."""
+        return df.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")), *keys)
 
     @cached_property
     def rates(self) -> DataFrame:

@@ -238,17 +238,18 @@ def _(i):
 
 
 @case("mod24_stm1_snk3_file_arrival", query("""
-SELECT collection, count(*) AS cnt, count(DISTINCT _id) AS ids FROM browse GROUP BY collection"""))
+SELECT collection, count(*) AS cnt, count(DISTINCT _id) AS ids
+FROM (SELECT collection, _id FROM browse UNION ALL SELECT 'checkout_success', source_event_id FROM ev) GROUP BY collection"""))
 def _(i):
     bucket, target, log = (fresh_path(i.spark, n) for n in ("bucket", "raw", "stream"))
-    _drop_files(i.browsing.where(F.col("time_stamp") % 2 == 0), f"{bucket}/raw/summary")
+    _drop_files(i.events.where(F.col("time_stamp") % 2 == 0), f"{bucket}/raw/summary")
     _drop_files(i.ip_locations, f"{bucket}/raw/ip_location")
     _drop_files(i.products, f"{bucket}/raw/products")
     # Not a .jsonl file: it must not be picked up.
     i.browsing.write.json(f"{bucket}/raw/summary/ignored")
     ingest.ingest_all(i.spark, bucket, target, log)
     # More files arrive later; a run without new files adds nothing.
-    _drop_files(i.browsing.where(F.col("time_stamp") % 2 == 1), f"{bucket}/raw/summary")
+    _drop_files(i.events.where(F.col("time_stamp") % 2 == 1), f"{bucket}/raw/summary")
     ingest.ingest_all(i.spark, bucket, target, log)
     again = ingest.ingest_all(i.spark, bucket, target, log)
     assert set(again.values()) == {0}, again
@@ -272,8 +273,9 @@ def _drop_files(df, folder):
 SELECT DISTINCT order_id, product_id FROM item"""))
 def _(i):
     source, target, log = (fresh_path(i.spark, n) for n in ("arrivals", "lines", "stream"))
-    i.checkouts.write.parquet(source)
-    stream = dedupe.streaming_cart_lines(i.spark.readStream.schema(schemas.EVENTS).parquet(source))
+    i.checkouts.repartition(5, "_id").write.parquet(source)
+    arriving = i.spark.readStream.schema(schemas.EVENTS).option("maxFilesPerTrigger", 1).parquet(source)
+    stream = dedupe.streaming_cart_lines(arriving)
     (stream.writeStream.format("parquet").option("path", target).option("checkpointLocation", log)
         .trigger(availableNow=True).start().awaitTermination())
     return i.spark.read.parquet(target).select("order_id", "product_id")

@@ -53,10 +53,10 @@ def usd_price(price: Column | str, rate: Column | str) -> Column:
     """Price in US dollars to the cent; no price counts 0, no rate counts 1.
 
     The product is taken on decimals: rounding a binary product to cents goes wrong
-    on ties.
+    on ties.  A price or rate too large for them gives null.
     """
-    amount = F.coalesce(as_column(price), F.lit(0.0)).cast("decimal(24,6)")
-    factor = F.coalesce(as_column(rate), F.lit(1.0)).cast("decimal(10,6)")
+    amount = F.coalesce(as_column(price), F.lit(0.0)).try_cast("decimal(29,9)")
+    factor = F.coalesce(as_column(rate), F.lit(1.0)).try_cast("decimal(18,12)")
     return F.round(amount * factor, 2).cast(NUMERIC)
 
 

@@ -18,8 +18,7 @@ _PLAIN = [c for c in PRODUCT_COLUMNS if c not in _DERIVED]
 _EMBEDDED = (
     "product_id string, "
     + ", ".join(f"{c} string" for c in _PLAIN)
-    + ", gender string, attributes struct<gender: struct<value: string>,"
-      " massiv: struct<value: string>>, _broken string"
+    + ", gender string, attributes string, _broken string"
 )
 
 
@@ -55,14 +54,17 @@ def with_product_data(stored: DataFrame, name: str = "data") -> DataFrame:
 
 def product_record(data: Column, product_id: Column | str, url: Column, domain: Column | str) -> list[Column]:
     """The 21 product columns from ``with_product_data``; a missing id falls back to the input."""
-    attributes = data["attributes"]
+    def attribute(name: str) -> Column:
+        # Shops write an empty map as [], false or an empty text; none of them has values.
+        return F.get_json_object(data["attributes"], f"$.{name}.value")
+
     derived = {
         "product_id": F.coalesce(data["product_id"], as_column(product_id)),
         "source_url": url,
         "domain_used": as_column(domain),
         # An empty gender counts as missing.
-        "gender": F.coalesce(F.nullif(data["gender"], F.lit("")), attributes["gender"]["value"]),
-        "massiv": attributes["massiv"]["value"],
+        "gender": F.coalesce(F.when(~data["gender"].isin("", "false", "[]", "{}"), data["gender"]), attribute("gender")),
+        "massiv": attribute("massiv"),
     }
     return [
         (derived[c] if c in derived else data[c]).alias(c) for c in PRODUCT_COLUMNS

@@ -9,6 +9,9 @@ from basketry.session import cut_lineage
 from basketry.sinks.writers import layer_table, save_table, table_or_none
 
 
+DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 class SchemaChanged(ValueError):
     """The batch does not have the columns of the table it should be merged into."""
 
@@ -53,7 +56,8 @@ def merge_into_partitions(batch: DataFrame, path: str, keys: list[str], partitio
     """Merge into a partitioned Parquet folder, rewriting touched partitions only.
 
     Touched are the partitions the batch writes to, and those that hold a row it
-    replaces.  Both come from a distinct over the partition column, one value a day.
+    replaces.  Both come from a distinct over the partition column, one value a day; a
+    null value is a partition like any other.
     The new rows are written to the shared folder before anything is overwritten.
     """
     spark = batch.sparkSession
@@ -74,13 +78,17 @@ def merge_into_partitions(batch: DataFrame, path: str, keys: list[str], partitio
     if not touched:
         return touched
 
-    current = target.where(F.col(partition).isin(touched))
+    here = F.col(partition).isin([v for v in touched if v is not None])
+    if None in touched:  # rows without a partition value share one folder
+        here = F.coalesce(here, F.lit(False)) | F.col(partition).isNull()
+    current = target.where(here)
     merged = cut_lineage(merge_by_key(current, batch, keys))
     filled = {r[0] for r in merged.select(partition).distinct().collect()}
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(partition).parquet(path))
     for value in touched:
         if value not in filled:  # every row moved elsewhere: leave the partition empty
+            folder = DEFAULT_PARTITION if value is None else value
             (merged.where(F.lit(False)).drop(partition)
-                   .write.mode("overwrite").parquet(f"{path}/{partition}={value}"))
+                   .write.mode("overwrite").parquet(f"{path}/{partition}={folder}"))
     return touched

@@ -101,8 +101,11 @@ def table_or_none(spark: SparkSession, name: str) -> DataFrame | None:
 
 
 def markdown_table(df: DataFrame, *, limit: int = 1000) -> str:
-    """A small report (at most ``limit`` rows are fetched) as Markdown."""
+    """A small report as Markdown; raises if it has more than ``limit`` rows."""
+    rows = df.take(limit + 1)
+    if len(rows) > limit:
+        raise ValueError(f"a report of more than {limit} rows; write it as a table")
     head = "| " + " | ".join(df.columns) + " |"
     rule = "|" + "---|" * len(df.columns)
-    body = ["| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in df.take(limit)]
+    body = ["| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in rows]
     return "\n".join([head, rule, *body])

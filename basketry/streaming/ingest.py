@@ -11,10 +11,13 @@ from basketry.sources.readers import PATH_TABLES, RAW_SCHEMAS
 
 def arriving_files(spark: SparkSession, bucket: str, prefix: str, *,
                    files_per_batch: int | None = None) -> DataFrame:
-    """Rows of new ``.jsonl`` files below a prefix; other files are not picked up."""
+    """Rows of new ``.jsonl`` files below a prefix; other files are not picked up.
+
+    A line that is not JSON, or whose values do not fit the schema, fails the stream.
+    """
     reader = (
         spark.readStream.schema(RAW_SCHEMAS[PATH_TABLES[prefix]])
-        .option("pathGlobFilter", "*.jsonl").option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.jsonl").option("recursiveFileLookup", True).option("mode", "FAILFAST")
     )
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
@@ -40,7 +43,8 @@ def ingest_all(spark: SparkSession, bucket: str, target_root: str, checkpoint_ro
                **options) -> dict[str, int]:
     """One stream per prefix; returns the rows added per raw table.
 
-    A failing stream raises here, and the next call takes up the same files again.
+    A failing stream raises here and stops the others; the next call takes up the same
+    files again.
     """
     before = {t: table_rows(spark, f"{target_root}/{t}") for t in PATH_TABLES.values()}
     running = [
@@ -48,8 +52,12 @@ def ingest_all(spark: SparkSession, bucket: str, target_root: str, checkpoint_ro
                       f"{checkpoint_root}/{table}", **options)
         for prefix, table in PATH_TABLES.items()
     ]
-    for query in running:
-        query.awaitTermination()
+    try:
+        for query in running:
+            query.awaitTermination()
+    finally:
+        for query in running:
+            query.stop()
     return {t: table_rows(spark, f"{target_root}/{t}") - n for t, n in before.items()}
 
 
@@ -57,5 +65,7 @@ def table_rows(spark: SparkSession, path: str) -> int:
     """Rows of a Parquet folder, 0 before its first file; answered from file footers."""
     try:
         return spark.read.parquet(path).count()
-    except AnalysisException:
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         return 0

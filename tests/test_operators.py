@@ -8,11 +8,14 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from basketry.functions import numbers
 from basketry.operators import discovery, iprange, lookup, pick, profile, quality
+from basketry.operators import pages as pages_operator
 from basketry.plans import catalog, facts, staging
 from basketry.session import cut_lineage, fresh_path, shared_root
 from basketry.sinks import merge, writers
 from basketry.sources import readers, schemas
+from basketry.streaming import ingest
 
 
 def rows(df, *columns):
@@ -171,6 +174,50 @@ def test_partition_merge_rewrites_touched_partitions_only(spark):
     assert len(untouched) == 1 and files() == untouched
 
 
+def test_partition_merge_keeps_rows_without_partition_value(spark):
+    path = fresh_path(spark, "t")
+    schema = "order_id bigint, v string, date_key bigint"
+    spark.createDataFrame([(1, "a", None), (2, "b", 20240101), (3, "c", None)], schema).write.partitionBy(
+        "date_key").parquet(path)
+    batch = spark.createDataFrame([(9, "new", None), (3, "d", 20240101)], schema)
+    assert set(merge.merge_into_partitions(batch, path, ["order_id"], "date_key")) == {None, 20240101}
+    after = {tuple(r) for r in spark.read.parquet(path).select("order_id", "v", "date_key").collect()}
+    assert after == {(1, "a", None), (2, "b", 20240101), (3, "d", 20240101), (9, "new", None)}
+
+
+def test_ingest_fails_on_malformed_lines(spark, tmp_path):
+    prefix = next(p for p, table in readers.PATH_TABLES.items() if table == "raw_summary")
+    folder = tmp_path / prefix
+    folder.mkdir(parents=True)
+    (folder / "x.jsonl").write_text('{"_id": "1", "time_stamp": 5}\nnot json at all\n')
+    with pytest.raises(Exception, match="(?i)malformed|failed"):
+        ingest.ingest_prefix(spark, str(tmp_path), prefix, str(tmp_path / "out"), str(tmp_path / "log")).awaitTermination()
+    assert ingest.table_rows(spark, str(tmp_path / "nowhere")) == 0
+
+
+def test_usd_price_of_odd_prices_and_rates(spark):
+    frame = spark.createDataFrame([(9999999999999999999.0, 1.0), (1e6, 0.00003912), (1e6, 0.0000004), (None, None), (1e300, 1.0)],
+                                  "p double, r double")
+    got = [r[0] for r in frame.select(numbers.usd_price("p", "r").cast("double")).collect()]
+    assert got == [1e19, 39.12, 0.4, 0.0, None]
+
+
+def test_pages_with_empty_maps_keep_their_product(spark):
+    page = '<script>var react_data = {"product_id": 5, "name": "Ring", "gender": %s, "attributes": %s};</script>'
+    pages = [(g, a, page % (g, a)) for g, a in (
+        ('"Men"', "[]"), ("false", '{"gender": {"value": "Women"}}'), ('""', '{"gender": []}'), ('"Kids"', "false"))]
+    stored = pages_operator.with_product_data(spark.createDataFrame(pages, "g string, a string, html string"))
+    record = pages_operator.product_record(F.col("data"), F.lit("1"), F.lit("u"), F.lit("d"))
+    got = [(r["name"], r["gender"]) for r in stored.select(*record).collect()]
+    assert got == [("Ring", "Men"), ("Ring", "Women"), ("Ring", None), ("Ring", "Kids")]
+
+
+def test_report_is_never_cut(spark):
+    with pytest.raises(ValueError):
+        writers.markdown_table(spark.range(5), limit=4)
+    assert len(writers.markdown_table(spark.range(5), limit=5).splitlines()) == 7
+
+
 def test_document_paths():
     walk = discovery.path_walker()
     document = {"a": [{"b": 1}, {"c": 2}], "d": None, "e": True, "f": [], "g": [[1]], "h": {"i": 1.5}}
