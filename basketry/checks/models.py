@@ -117,34 +117,38 @@ SELECT DISTINCT ip, raw_code AS country_code, raw_country AS country_name, raw_r
 FROM {source} JOIN place ON CAST(split_part(ip, '.', 2) AS INTEGER) = n WHERE {where}"""
 
 
-@case("mod15_ip_full_load", query(_LOCATED.format(
-    source="(SELECT ip FROM ev UNION ALL SELECT ip FROM browse)", where="n NOT IN (3, 8)")))
+_ALL_IPS = "(SELECT ip FROM ev UNION ALL SELECT ip FROM browse)"
+
+
+@case("mod15_ip_full_load", query(_LOCATED.format(source=_ALL_IPS, where="n NOT IN (3, 8)")))
 def _(i):
-    good, _ = enrichment.full_load(i.events, i.ip_ranges)
-    path = fresh_path(i.spark, "ip_location")
-    writers.replace_rows(good, path)
-    return i.spark.read.parquet(path)
+    store, csv, errors = (fresh_path(i.spark, n) for n in ("ip_location", "ip_csv", "ip_errors"))
+    enrichment.write_full_load(i.events, i.ip_ranges, store=store, csv=csv, errors=errors)
+    return i.spark.read.parquet(store)
 
 
-@case("mod16_ip_repair_load", query("""
+@case("mod16_ip_repair_load", query(f"""
 SELECT DISTINCT ip, CASE WHEN n = 8 THEN '-' ELSE raw_code END AS country_code,
-       CASE WHEN n = 8 THEN '-' ELSE raw_region END AS region_name
-FROM browse JOIN place ON CAST(split_part(ip, '.', 2) AS INTEGER) = n
+       CASE WHEN n = 8 THEN '-' ELSE raw_country END AS country_name,
+       CASE WHEN n = 8 THEN '-' ELSE raw_region END AS region_name,
+       CASE WHEN n = 8 THEN '-' WHEN n = 7 AND CAST(split_part(ip, '.', 3) AS INTEGER) >= 128 THEN 'second half'
+            ELSE raw_city END AS city_name
+FROM {_ALL_IPS} JOIN place ON CAST(split_part(ip, '.', 2) AS INTEGER) = n
 WHERE ip NOT IN (SELECT ip FROM ipl)"""))
 def _(i):
-    good, _ = enrichment.repair_load(i.browsing, i.ip_locations, i.ip_ranges)
-    path = fresh_path(i.spark, "ip_repair")
-    writers.export_jsonl(good, path)
-    return readers.read_ip_locations(i.spark, path).select("ip", "country_code", "region_name")
+    store, delta, errors = (fresh_path(i.spark, n) for n in ("ip_location", "ip_repair", "ip_errors"))
+    i.ip_locations.select(*schemas.IP_LOCATION_COLUMNS).write.parquet(store)
+    enrichment.write_repair_load(i.events, i.spark.read.parquet(store), i.ip_ranges, store=store, delta=delta, errors=errors)
+    return readers.read_ip_locations(i.spark, delta).select(*schemas.IP_LOCATION_COLUMNS)
 
 
-@case("mod17_ip_delta", query("""
-SELECT ip, raw_code AS country_code, raw_city AS city_name FROM ipl
-WHERE ip IN (SELECT ip FROM browse) AND c_custkey % 4 <> 1"""))
+@case("mod17_ip_delta", query(f"""
+SELECT ip, raw_code AS country_code, raw_country AS country_name, raw_region AS region_name, raw_city AS city_name
+FROM ipl WHERE ip IN (SELECT ip FROM {_ALL_IPS}) AND c_custkey % 4 <> 1"""))
 def _(i):
     number = F.regexp_extract("_id", r"^l(\d+)-", 1).cast("bigint")
     loaded = i.ip_locations.where(number % 4 == 1)
-    return enrichment.delta_export(i.browsing, loaded, i.ip_locations).select("ip", "country_code", "city_name")
+    return enrichment.delta_export(i.events, loaded, i.ip_locations)
 
 
 @case("mod18_product_urls", query("""
@@ -205,23 +209,36 @@ FROM (SELECT unnest([{', '.join(repr(f) for f in fields)}]) AS field, unnest([{'
 GROUP BY field"""
 
 
+# Raw texts of both kinds of events, and of the products.
+_RAW_EVENTS = """(
+SELECT CASE WHEN o_custkey % 97 = 0 THEN '   ' ELSE ip END AS ip, NULL AS product_id, NULL AS viewing_product_id,
+       CASE WHEN l_orderkey % 13 = 0 THEN NULL
+            WHEN l_orderkey % 10 = 0 THEN 'https://m.shop' || (o_custkey % 25) || '.example.net:8443/checkout'
+            ELSE 'https://shop' || (o_custkey % 25) || '.example.com/checkout/success?o=' || l_orderkey END AS current_url,
+       NULL AS referrer_url, 'checkout_success' AS collection, email_address, time_stamp,
+       CASE WHEN o_custkey % 50 = 0 THEN '' WHEN o_custkey % 2 = 1 THEN chr(9) || o_custkey || ' '
+            ELSE CAST(o_custkey AS VARCHAR) END AS user_id_db, device_id
+FROM ev
+UNION ALL SELECT ip, product_id, viewing_product_id, current_url, referrer_url, collection, NULL, time_stamp, user_id_db, NULL
+FROM browse)"""
+
+
+def _fields(table, **values):
+    return {f: values.get(f, f) for f in schemas.PROFILE_FIELDS[table]}
+
+
 @case("mod22_data_profile", query(" UNION ALL ".join([
-    _profile_sql("raw_summary", "browse", {
-        "ip": "ip", "product_id": "product_id", "current_url": "current_url", "referrer_url": "referrer_url",
-        "collection": "collection", "time_stamp": "CAST(time_stamp AS VARCHAR)", "user_id_db": "user_id_db"}),
-    _profile_sql("raw_ip_location", "ipl", {
-        "ip": "ip", "country_name": "raw_country", "city_name": "raw_city"}),
-    _profile_sql("raw_products", "part", {
-        "product_id": "CASE WHEN p_partkey % 211 <> 0 THEN CAST(p_partkey AS VARCHAR) END", "sku": "p_brand",
-        "category": "p_type"}),
+    _profile_sql("raw_summary", _RAW_EVENTS, _fields("raw_summary", time_stamp="CAST(time_stamp AS VARCHAR)")),
+    _profile_sql("raw_ip_location", "ipl", _fields("raw_ip_location", country_name="raw_country", city_name="raw_city")),
+    _profile_sql("raw_products", "part", _fields(
+        "raw_products", product_id="CASE WHEN p_partkey % 211 <> 0 THEN CAST(p_partkey AS VARCHAR) END",
+        name="CASE WHEN p_partkey % 53 = 0 THEN '  ' ELSE p_name END", sku="p_brand",
+        price="CAST(p_retailprice AS VARCHAR)", category="p_type",
+        gender="CASE WHEN p_size % 11 <> 8 THEN CAST(p_size % 11 AS VARCHAR) END")),
 ])))
 def _(i):
-    return profile.profile_tables({
-        "raw_summary": (i.browsing, ["ip", "product_id", "current_url", "referrer_url", "collection",
-                                     "time_stamp", "user_id_db"]),
-        "raw_ip_location": (i.ip_locations, ["ip", "country_name", "city_name"]),
-        "raw_products": (i.products, ["product_id", "sku", "category"]),
-    })
+    tables = {"raw_summary": i.events, "raw_ip_location": i.ip_locations, "raw_products": i.products}
+    return profile.profile_tables({name: (df, schemas.PROFILE_FIELDS[name]) for name, df in tables.items()})
 
 
 @case("mod23_raw_export", query("""

@@ -124,20 +124,18 @@ def _(i):
 
 
 @case("snk1_snk2_export_parts", query("""
-SELECT 'summary' AS name, CAST(ceil(count(*) / 1000.0) AS BIGINT) AS least_parts, count(*) AS cnt,
-       count(DISTINCT _id) AS ids, CAST(1000 AS BIGINT) AS largest FROM browse
-UNION ALL
-SELECT 'ip_location', CAST(ceil(count(*) / 1000.0) AS BIGINT), count(*),
-       count(DISTINCT (c_custkey, copy)), least(1000, count(*)) FROM ipl"""))
+SELECT 'summary' AS name, count(*) AS cnt, count(DISTINCT _id) AS ids, true AS parts_fit
+FROM (SELECT source_event_id AS _id FROM ev UNION ALL SELECT _id FROM browse)
+UNION ALL SELECT 'ip_location', count(*), count(DISTINCT (c_custkey, copy)), true FROM ipl"""))
 def _(i):
-    tables = {"summary": i.browsing.coalesce(1), "ip_location": i.ip_locations.coalesce(1)}
+    tables = {"summary": i.events, "ip_location": i.ip_locations}
     paths = writers.export_all(tables, fresh_path(i.spark, "export"), max_per_file=1000)
     reports = []
     for name, path in paths.items():
-        rows = i.spark.read.schema("_id string").json(path).select("_id", "_metadata.file_name")
-        per_file = rows.groupBy("file_name").agg(F.count(F.lit(1)).alias("n"))
+        rows = i.spark.read.schema("_id string").json(path).select("_id", "_metadata.file_path")
+        per_file = rows.groupBy("file_path").agg(F.count(F.lit(1)).alias("n"))
         totals = rows.agg(F.count(F.lit(1)).alias("cnt"), F.count_distinct("_id").alias("ids"))
-        files = per_file.agg(F.count(F.lit(1)).alias("least_parts"), F.max("n").alias("largest"))
+        files = per_file.agg((F.max("n") <= 1000).alias("parts_fit"))
         reports.append(totals.select(F.lit(name).alias("name"), "cnt", "ids").join(
             files.withColumn("name", F.lit(name)), "name"))
     return reports[0].unionByName(reports[1])
@@ -214,19 +212,22 @@ def _(i):
 
 
 @case("snk12_success_failure_sinks", query("""
-SELECT 'success' AS sink, count(*) AS cnt FROM (SELECT DISTINCT task_id FROM stored WHERE status = 'ok')
+SELECT 'success' AS sink, domain AS what, count(*) AS cnt FROM (
+  SELECT arg_min(domain, attempt) AS domain FROM stored WHERE status = 'ok' GROUP BY task_id) GROUP BY domain
 UNION ALL
-SELECT 'failure', count(*) FROM (SELECT task_id FROM stored GROUP BY task_id HAVING count(CASE WHEN status = 'ok' THEN 1 END) = 0)"""))
+SELECT 'failure', what, count(*) FROM (
+  SELECT arg_max(status, attempt) AS what FROM stored GROUP BY task_id
+  HAVING count(CASE WHEN status = 'ok' THEN 1 END) = 0) GROUP BY what"""))
 def _(i):
     good, bad = catalog.split_outcomes(catalog.parse_pages(i.product_pages))
     good_path, bad_path = fresh_path(i.spark, "good"), fresh_path(i.spark, "bad")
     writers.export_jsonl(good, good_path)
     writers.write_csv(bad, bad_path)
     count = F.count(F.lit(1)).alias("cnt")
-    success = readers.read_products(i.spark, good_path).agg(count)
-    failure = i.spark.read.option("header", True).csv(bad_path).agg(count)
-    return success.select(F.lit("success").alias("sink"), "cnt").unionAll(
-        failure.select(F.lit("failure").alias("sink"), "cnt"))
+    success = readers.read_products(i.spark, good_path).groupBy(F.col("domain_used").alias("what")).agg(count)
+    failure = i.spark.read.option("header", True).csv(bad_path).groupBy(F.col("last_error").alias("what")).agg(count)
+    return success.select(F.lit("success").alias("sink"), "what", "cnt").unionAll(
+        failure.select(F.lit("failure").alias("sink"), "what", "cnt"))
 
 
 @case("snk13_staging_view", query("SELECT store_key, store_id, store_domain FROM store"))

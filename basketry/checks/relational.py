@@ -362,10 +362,14 @@ def _(i):
 
 
 @case("agg9_uncastable", query("""
-SELECT count(*) AS invalid_count FROM ev"""))
-def _(i):
-    # '5979.0' and 'x101' are both present but no whole numbers.
-    return profile.count_uncastable(i.checkouts, "order_id")
+SELECT 'order_id' AS field, count(*) AS invalid_count FROM ev
+UNION ALL SELECT 'product_id', count(CASE WHEN product_id = '' THEN 1 END) FROM browse
+UNION ALL SELECT 'time_stamp', 0"""))
+def _(i):
+    # '5979.0' and 'x101' are present but no whole numbers; product ids are numbers, empty or null.
+    fields = ["order_id", "product_id", "time_stamp"]
+    counts = [profile.count_uncastable(i.events, f).select(F.lit(f).alias("field"), "invalid_count") for f in fields]
+    return counts[0].unionAll(counts[1]).unionAll(counts[2])
 
 
 @case("agg10_srt4_top_hosts", query("""

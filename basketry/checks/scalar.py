@@ -210,7 +210,8 @@ def _(i):
 
 @case("dat10_iso_text", """
 SELECT event_id, strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%S') AS seconds,
-       rtrim(strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), '0') AS iso FROM events""")
+       CASE WHEN microsecond(ts) % 1000000 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')
+            ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END AS iso FROM events""")
 def _(i):
     return i.table("events").select(
         "event_id", dates.iso_text(F.date_trunc("second", "ts")).alias("seconds"),

@@ -45,6 +45,6 @@ def is_weekend(day: Column | str) -> Column:
 
 
 def iso_text(moment: Column | str) -> Column:
-    """ISO-8601 text of a zone-less timestamp, fraction only when there is one."""
+    """ISO-8601 text of a zone-less timestamp, with six digits of fraction if there is one."""
     text = F.replace(as_column(moment).cast("timestamp_ntz").cast("string"), F.lit(" "), F.lit("T"))
-    return text
+    return F.when(text.contains("."), F.rpad(text, 26, "0")).otherwise(text)

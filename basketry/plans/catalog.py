@@ -7,10 +7,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from basketry.functions.jsontext import once
 from basketry.functions.text import as_column, catalog_url, is_filled, url_authority
 from basketry.operators import pages
-from basketry.operators.lookup import first_source_wins, remaining_tasks
-from basketry.operators.pick import (
-    earliest_value, first_per_key, latest_value, most_frequent, ranked_values,
-)
+from basketry.operators.lookup import remaining_tasks
+from basketry.operators.pick import earliest_value, latest_value, most_frequent, ranked_values
+from basketry.session import cut_lineage
 from basketry.sources.schemas import PRODUCT_COLUMNS
 
 # Event types that show a product on its own page, and the one that refers to it.
@@ -29,27 +28,23 @@ FALLBACK_DOMAINS = 4
 FIRST_SEEN = ["time_stamp", "_id"]
 
 
-def _first_url(events: DataFrame, product: Column, url: Column) -> DataFrame:
-    pairs = events.select(product.alias("product_id"), url.alias("url"), *FIRST_SEEN)
-    return earliest_value(
-        pairs.where(is_filled("product_id") & is_filled("url")), "product_id", "url", FIRST_SEEN
-    )
-
-
 def product_urls(events: DataFrame) -> DataFrame:
     """(product_id, url): the first page each product was seen on, else the first referrer.
 
-    An empty product id does not fall back to the viewed one; such rows drop out.
+    An empty product id does not fall back to the viewed one; such rows drop out.  Events
+    are read once: the kind of page comes first in the order of a product's URLs.
     """
-    direct = _first_url(
-        events.where(F.col("collection").isin(PRODUCT_EVENTS)),
-        F.coalesce("product_id", "viewing_product_id"), F.col("current_url"),
+    referring = F.col("collection") == REFERRING_EVENT
+    shown = events.where(F.col("collection").isin([*PRODUCT_EVENTS, REFERRING_EVENT])).select(
+        F.when(referring, F.col("viewing_product_id")).otherwise(
+            F.coalesce("product_id", "viewing_product_id")).alias("product_id"),
+        F.when(referring, F.col("referrer_url")).otherwise(F.col("current_url")).alias("url"),
+        referring.alias("referring"), *FIRST_SEEN,
     )
-    referred = _first_url(
-        events.where(F.col("collection") == REFERRING_EVENT),
-        F.col("viewing_product_id"), F.col("referrer_url"),
+    return earliest_value(
+        shown.where(is_filled("product_id") & is_filled("url")), "product_id", "url",
+        ["referring", *FIRST_SEEN],
     )
-    return first_source_wins(direct, referred, "product_id")
 
 
 def product_domains(urls: DataFrame, order: list[str]) -> DataFrame:
@@ -105,16 +100,18 @@ def split_outcomes(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     The first attempt that went well gives the product.  A product with none goes to
     failures (product_id, domains_tried, last_error); the domain plan bounds the number
-    of its attempts.
+    of its attempts.  Pages are parsed once: both come from one written aggregate.
     """
-    good = first_per_key(parsed.where(F.col("status") == pages.OK), ["task_id"], [F.asc("attempt")])
-    failed = remaining_tasks(parsed, good, "task_id")
-    tried = F.sort_array(F.collect_set(F.struct("attempt", "domain_used")))
-    failures = failed.groupBy(F.col("task_id").alias("product_id")).agg(
+    good, order = F.col("status") == pages.OK, F.struct("attempt", "domain_used")
+    tried = F.sort_array(F.collect_set(order))
+    outcomes = cut_lineage(parsed.groupBy("task_id").agg(
+        F.min_by(F.struct(*PRODUCT_COLUMNS), F.when(good, order)).alias("product"),
         F.array_join(F.transform(tried, lambda t: t["domain_used"]), ";").alias("domains_tried"),
-        F.max_by("status", "attempt").alias("last_error"),
-    )
-    return good.select(*PRODUCT_COLUMNS), failures
+        F.max_by("status", order).alias("last_error"),
+    ), "page-outcomes")
+    failures = outcomes.where(F.col("product").isNull()).select(
+        F.col("task_id").alias("product_id"), "domains_tried", "last_error")
+    return outcomes.where(F.col("product").isNotNull()).select("product.*"), failures
 
 
 def outcome_counts(parsed: DataFrame) -> DataFrame:

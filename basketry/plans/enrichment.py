@@ -6,12 +6,16 @@ from pyspark.sql import DataFrame, functions as F
 
 from basketry.operators.iprange import locate
 from basketry.operators.lookup import missing_keys, rows_with_keys
-from basketry.sinks.writers import split_rows
+from basketry.session import cut_lineage
+from basketry.sinks.writers import (
+    append_rows, export_jsonl, replace_rows, split_rows, write_csv, write_quarantine,
+)
 from basketry.sources.schemas import IP_LOCATION_COLUMNS
 
 
 def _split(located: DataFrame) -> tuple[DataFrame, DataFrame]:
-    good, bad = split_rows(located, F.col("error").isNotNull())
+    # Written once, so that neither output looks the addresses up again.
+    good, bad = split_rows(cut_lineage(located, "located"), F.col("error").isNotNull())
     return good.select(*IP_LOCATION_COLUMNS), bad.select("ip", "error")
 
 
@@ -28,6 +32,24 @@ def repair_load(events: DataFrame, existing: DataFrame, ranges: DataFrame) -> tu
     return _split(locate(missing_keys(events, existing, "ip"), ranges, skip_unknown=False))
 
 
+def write_full_load(events: DataFrame, ranges: DataFrame, *, store: str, csv: str, errors: str,
+                    limit: int | None = None) -> None:
+    """Replace the stored locations, write them as CSV, and the rejected addresses beside."""
+    good, bad = full_load(events, ranges, limit)
+    replace_rows(good, store)
+    write_csv(good, csv, IP_LOCATION_COLUMNS)
+    write_quarantine(bad, errors, ["ip", "error"])
+
+
+def write_repair_load(events: DataFrame, existing: DataFrame, ranges: DataFrame, *, store: str,
+                      delta: str, errors: str) -> None:
+    """Append the missing locations to the store, and write them and the rejected addresses."""
+    good, bad = repair_load(events, existing, ranges)
+    append_rows(good, store)
+    export_jsonl(good, delta)
+    write_quarantine(bad, errors, ["ip", "error"])
+
+
 def delta_export(events: DataFrame, loaded: DataFrame, store: DataFrame) -> DataFrame:
     """Stored locations of the addresses that the warehouse does not have."""
     absent = missing_keys(events, loaded, "ip")

@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+
+from basketry.functions.dates import iso_text
 
 MAX_DOCUMENTS_PER_FILE = 500_000
 
 
 def export_jsonl(df: DataFrame, path: str, *, limit: int | None = None,
                  max_per_file: int = MAX_DOCUMENTS_PER_FILE) -> None:
-    """JSON-lines parts of at most ``max_per_file`` documents each."""
+    """JSON-lines parts of at most ``max_per_file`` documents each; instants as ISO-8601 text."""
+    df = df.select(*[
+        iso_text(F.col(f"`{f.name}`")).alias(f.name)
+        if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)) else F.col(f"`{f.name}`")
+        for f in df.schema.fields])
     if limit is not None:
         df = df.limit(limit)
     (df.write.option("maxRecordsPerFile", max_per_file)

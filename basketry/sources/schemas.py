@@ -111,3 +111,11 @@ CONTRACTS: dict[str, str] = {
 
 def contract(name: str) -> T.StructType:
     return T.StructType.fromDDL(CONTRACTS[name])
+
+# Columns that are profiled in each raw table.
+PROFILE_FIELDS = {
+    "raw_summary": ["ip", "product_id", "viewing_product_id", "current_url", "referrer_url", "collection",
+                    "email_address", "time_stamp", "user_id_db", "device_id"],
+    "raw_ip_location": ["ip", "country_name", "city_name"],
+    "raw_products": ["product_id", "name", "sku", "price", "category", "gender"],
+}

@@ -53,7 +53,14 @@ def test_customers_are_combined_before_the_shuffle(stored_events, inputs):
 
 
 def test_first_url_is_combined_before_the_shuffle(stored_events):
-    assert "partial_min_by" in plan(catalog.product_urls(stored_events))
+    text = plan(catalog.product_urls(stored_events))
+    assert "partial_min_by" in text and text.count("FileScan parquet") == 1 and "Join" not in text
+
+
+def test_outcomes_are_split_from_a_written_aggregate(inputs):
+    for df in catalog.split_outcomes(catalog.parse_pages(inputs.product_pages)):
+        text = plan(df)
+        assert "from_json(" not in text and "Exchange" not in text and text.count("FileScan parquet") == 1
 
 
 def test_known_sizes_make_star_joins_broadcast(inputs):
