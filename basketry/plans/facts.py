@@ -13,8 +13,10 @@ from basketry.operators.lookup import every_pair, lookup
 from basketry.plans.dims import audit_columns
 
 LOOK_BACK_DAYS = 3
-# One key per (order, product); null for an order without an id, which never matches.
-MERGE_KEYS = ["order_product_key"]
+# One key per (order, product), null for an order without an id, which never matches.  The
+# key is a hash of 60 bits; with the order beside it, lines of different orders cannot meet.
+MERGE_KEYS = ["order_id", "order_product_key"]
+FACT_PARTITION = "date_key"
 
 
 def distinct_rates(currency_rates: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from basketry.operators import quality
 from basketry.operators.quality import enforce_contract
 from basketry.plans import dims, facts, mart, staging
 from basketry.session import cut_lineage
-from basketry.sinks.merge import merge_into_table
+from basketry.sinks.merge import merge_into_partitioned_table
 from basketry.sinks.writers import publish_view, save_table, table_or_none
 from basketry.sources.readers import Registry
 
@@ -73,25 +73,26 @@ def build(spark: SparkSession, events: DataFrame, ip_locations: DataFrame, raw_p
     """Build all tables; the registry then refers to what was saved.
 
     Every table is checked against its contract before it is written.  An incremental
-    run merges the look-back window into the fact; the first run, and one that is not
-    incremental, replaces it.
+    run merges the look-back window into the fact, of which it rewrites only the days it
+    touches; the first run, and one that is not incremental, replaces it.
     """
     r = define(spark, events, ip_locations, raw_products, currency_rates)
     for name in STAGING_MODELS:
         publish_view(r[name], name)
 
-    def save(layer: str, name: str) -> None:
-        r.put(name, spark.table(save_table(enforce_contract(r[name], name), layer, name)))
+    def save(layer: str, name: str, partition_by: list[str] | None = None) -> None:
+        r.put(name, spark.table(save_table(enforce_contract(r[name], name), layer, name, partition_by=partition_by)))
 
     for name in [*DIMENSIONS, RATES]:
         save(CORE, name)
 
     if incremental and table_or_none(spark, f"{CORE}.{FACT}") is not None:
         batch = sales_fact(r, facts.recent(r[CART], as_of), currency_rates)
-        merge_into_table(enforce_contract(batch, FACT), CORE, FACT, facts.MERGE_KEYS)
+        merge_into_partitioned_table(
+            enforce_contract(batch, FACT), CORE, FACT, facts.MERGE_KEYS, facts.FACT_PARTITION)
         r.put(FACT, spark.table(f"{CORE}.{FACT}"))
     else:
-        save(CORE, FACT)
+        save(CORE, FACT, [facts.FACT_PARTITION])
     save(MART, FLAT)
     return r
 

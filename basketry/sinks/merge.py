@@ -92,3 +92,19 @@ def merge_into_partitions(batch: DataFrame, path: str, keys: list[str], partitio
             (merged.where(F.lit(False)).drop(partition)
                    .write.mode("overwrite").parquet(f"{path}/{partition}={folder}"))
     return touched
+
+
+def merge_into_partitioned_table(batch: DataFrame, layer: str, table: str, keys: list[str], partition: str) -> str:
+    """Merge into a table partitioned by one column, or create it; untouched partitions stay."""
+    spark = batch.sparkSession
+    name = layer_table(layer, table)
+    if table_or_none(spark, name) is None:
+        return save_table(batch, layer, table, partition_by=[partition])
+    partitions = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    if partitions != [partition]:
+        raise ValueError(f"{name} is partitioned by {partitions}, not by {partition}")
+    location = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
+    merge_into_partitions(batch, location, keys, partition)
+    spark.catalog.recoverPartitions(name)  # days that are new to the table
+    spark.catalog.refreshTable(name)
+    return name

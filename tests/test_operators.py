@@ -155,6 +155,21 @@ def test_an_interrupted_merge_is_taken_up_again(spark):
     assert not spark.catalog.tableExists("core.torn__old")
 
 
+def test_merge_into_a_partitioned_table(spark):
+    schema = "order_id bigint, v int, day int"
+    put = lambda *r, keys="day": merge.merge_into_partitioned_table(
+        spark.createDataFrame(list(r), schema), "core", "by_day", ["order_id"], keys)
+    put((1, 0, 1), (2, 0, 2), (3, 0, 3), (None, 0, 1))
+    before = set(spark.table("core.by_day").inputFiles())
+    put((3, 5, 3), (4, 5, 3), (2, 5, 4), (None, 5, None))  # order 2 moves to another day
+    table = spark.table("core.by_day")
+    assert rows(table.select("order_id", "v", "day")) == rows(spark.createDataFrame(
+        [(1, 0, 1), (2, 5, 4), (3, 5, 3), (4, 5, 3), (None, 0, 1), (None, 5, None)], schema))
+    assert {f for f in before if "day=1/" in f} <= set(table.inputFiles())
+    with pytest.raises(ValueError, match="partitioned by"):
+        put((1, 1, 1), keys="v")
+
+
 def test_partition_merge_rewrites_touched_partitions_only(spark):
     path = fresh_path(spark, "t")
     schema = "order_id bigint, v int, date_key bigint"

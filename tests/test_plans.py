@@ -151,3 +151,22 @@ def test_exchange_rates_cover_every_day(inputs):
     codes = inputs.models["dim_currency"].where("currency_key <> -1").count()
     assert inputs.models["fact_exchange_rate"].count() == days * codes
     assert facts.distinct_rates(inputs.rates).count() == 34
+
+
+def test_a_cart_with_several_lines(spark, inputs):
+    """Places in the cart count every entry; of a product listed twice the first entry stays."""
+    cart = ('[{"product_id": 5, "amount": 1, "price": "1,00", "currency": "€"}, {"product_id": null, "amount": 2},'
+            ' {"product_id": "6", "amount": "3", "price": "2.50", "currency": "$"},'
+            ' {"product_id": 5, "amount": 4, "price": "9,00", "currency": "€"}, {"product_id": 7}]')
+    rows = [("b", 200, cart, "1.0"), ("a", 100, cart, "1.0"), ("c", 300, cart, "2"), ("d", 300, "[]", "3"), ("e", 300, None, "4")]
+    raw = spark.createDataFrame(rows, "_id string, time_stamp long, cart_products string, order_id string")
+    columns = {f.name: f.dataType for f in inputs.checkouts.schema.fields}
+    events = raw.withColumn("collection", F.lit("checkout_success"))
+    events = events.select(*[
+        (F.col(n) if n in events.columns else F.lit(None)).cast(t).alias(n) for n, t in columns.items()])
+    found = staging.checkout_cart_items(events, inputs.rates).select(
+        "order_id", "product_id", "item_index", "source_event_id", "amount", "unit_price")
+    assert sorted(map(tuple, found.collect())) == [
+        (order, product, index, event, amount, price)
+        for order, event in ((1, "a"), (2, "c"))
+        for product, index, amount, price in ((5, 0, 1, 1.0), (6, 2, 3, 2.5), (7, 4, None, None))]

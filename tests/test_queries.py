@@ -36,9 +36,13 @@ def test_build_twice_and_incrementally(spark, folder):
     first = warehouse.build(spark, *sources)
     keyed = "order_product_key is not null"
     full = first[warehouse.FACT].where(keyed).drop("inserted_date", "updated_date").collect()
+    old_files = set(first[warehouse.FACT].inputFiles())
     again = warehouse.build(spark, *sources, incremental=True, as_of=datetime.date(2000, 1, 1))
     merged = again[warehouse.FACT].where(keyed).drop("inserted_date", "updated_date")
     assert sorted(map(str, merged.collect())) == sorted(map(str, full))
+    # Days before the look-back are neither in the batch nor hold a row it replaces.
+    early = {f for f in old_files if int(f.split("date_key=")[1].split("/")[0]) < 19991229}
+    assert early and early <= set(merged.inputFiles()) and old_files - set(merged.inputFiles())
     report = {r["check"]: r["failures"] for r in warehouse.quality_report(again, i.rates).collect()}
     assert len(report) == 76  # 74 generic tests and 2 singular ones
     failures = {check: n for check, n in report.items() if n}
