@@ -1,13 +1,13 @@
 """LM scoring: a log-bilinear neural model trained in numpy by noise-contrastive estimation.
 
-Word counts and the counts of neighbouring words come from every training document, as
-grouped sums in Spark.  The model predicts a word from the one before it: the vector of the
-word before, times a matrix, times the vector of the word, plus the word's bias.  It knows the
-most frequent words and one class for the rest per ending (`MODEL_SIZE` entries in all); its
-statistics are therefore a matrix of bounded size, and training uses the exact expectation of
-the contrastive objective over data and noise instead of drawn samples.  One batched matrix
-product with a log-softmax then gives normalised log-probabilities.  A word of a class is
-predicted from its count within the class.
+Word counts come from every training document, as grouped sums in Spark.  The model predicts
+a word from the `CONTEXT` words before it: their vectors, weighted by place, are summed and
+multiplied with the vector of the word, plus its bias.  The `LOOKUP` most frequent words have
+vectors of their own; every other word shares the vector of its hashed ending, one of
+`BUCKETS`.  Each task of a training pass runs over all words of its documents in small steps
+with drawn noise words; the changes are averaged in Spark, each vector by how often it was
+trained.  Log-probabilities are normalised by class of similar counts, then within the class;
+a word that shares a vector is predicted from its count among those that share it.
 
 Counts of the `LOOKUP` most frequent words are broadcast; all other words of a text meet
 their counts in a join.  Null and empty texts are one end token.  A null id is never held
@@ -17,6 +17,7 @@ Without training documents every count is 0 and the model is even.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,15 +29,19 @@ from pyspark.sql import functions as F
 
 from basketry.llm.common import keep, remainder, texts
 
-MODEL_SIZE = 1024
 LOOKUP = 1 << 17
+BUCKETS = 1 << 12  # of the endings of words that are not looked up
+CONTEXT = 3  # words before
 FLUSH = 200_000  # words a task counts before it passes them on
 WIDTH = 32  # of a word's vector
 NOISE = 10.0  # noise words per token
-STEPS = 150
-RATE = 0.02
+DRAWN = 64  # noise words that the tokens of a step share
+STEP = 2048  # tokens
+RATE = 0.1
+LEAST = 1 << 18  # tokens a task trains on; it runs over fewer again
+PIECE = 1 << 15  # tokens scored at once
+PART = 4096  # vectors passed on together
 END = b""  # no word is empty
-CLASSES = 5
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -46,16 +51,9 @@ def tokens(text: bytes) -> list[bytes]:
     return found
 
 
-def ending(word: bytes) -> int:
-    """Class of a word that the model does not know by itself."""
-    last = word[-1:]
-    if last == b".":
-        return 0
-    if last == b",":
-        return 1
-    if last.isalpha():
-        return 2
-    return 3 if last.isdigit() or last >= b"\x80" else 4
+def bucket(word: bytes) -> int:
+    """Of the hashed ending, for words that are not looked up."""
+    return zlib.crc32(word[-3:]) % BUCKETS
 
 
 def training(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -63,14 +61,14 @@ def training(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def word_counts(train: DataFrame) -> DataFrame:
-    """(word, ending, n) over all training documents."""
+    """(word, bucket, n) over all training documents."""
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter[bytes] = Counter()
 
         def passed_on() -> pd.DataFrame:
             words = list(seen)
-            return pd.DataFrame({"word": words, "ending": [ending(w) for w in words], "n": list(seen.values())})
+            return pd.DataFrame({"word": words, "bucket": [bucket(w) for w in words], "n": list(seen.values())})
 
         for batch in batches:
             for content in texts(batch["text"]):
@@ -81,7 +79,7 @@ def word_counts(train: DataFrame) -> DataFrame:
         if seen:
             yield passed_on()
 
-    return train.mapInPandas(counted, "word binary, ending int, n long").groupBy("word", "ending").agg(F.sum("n").alias("n"))
+    return train.mapInPandas(counted, "word binary, bucket int, n long").groupBy("word", "bucket").agg(F.sum("n").alias("n"))
 
 
 class Index(dict):
@@ -93,25 +91,25 @@ class Index(dict):
 
 @dataclass
 class Vocabulary:
-    """The most frequent words with their counts; the end first, then the model's own words."""
+    """The most frequent words with their counts; the end first."""
 
     words: list[bytes]
     counts: np.ndarray
-    own: int  # entries of the model that are words
     total: int  # training tokens
     distinct: int
-    class_logs: np.ndarray  # log10 of the normaliser of each class
+    bucket_counts: np.ndarray  # training tokens of each bucket
+    bucket_logs: np.ndarray  # log10 of the normaliser of each bucket
 
     def index(self) -> Index:
         return Index(zip(self.words, range(len(self.words))))
 
-    def entries(self) -> np.ndarray:
-        """The model's entry for each word."""
-        return np.array([k if k < self.own else self.own + ending(w) for k, w in enumerate(self.words)], np.int64)
+    def sizes(self) -> np.ndarray:
+        """Training tokens of each vector: the words' own, then the buckets'."""
+        return np.concatenate([self.counts, self.bucket_counts]).astype(np.float64)
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
-    sums = counts.groupBy("ending").agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect()
+    sums = counts.groupBy("bucket").agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect()
     total, distinct = sum(r["n"] for r in sums), sum(r["words"] for r in sums)
     # The least count that at most LOOKUP words reach, from the (short) table of counts of counts.
     reached, least = 0, 1
@@ -124,17 +122,16 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     pairs = sorted(zip(top["word"].to_pylist(), top["n"].to_pylist()), key=lambda p: (p[0] != END, -p[1], p[0]))
     if not pairs or pairs[0][0] != END:
         pairs.insert(0, (END, 0))
-    own = min(len(pairs), MODEL_SIZE - CLASSES)
-    mass, size = np.zeros(CLASSES), np.zeros(CLASSES)
+    mass, size = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for row in sums:
-        mass[row["ending"]] += row["n"]
-        size[row["ending"]] += row["words"]
-    for word, n in pairs[:own]:
+        mass[row["bucket"]] += row["n"]
+        size[row["bucket"]] += row["words"]
+    for word, n in pairs:
         if n:
-            mass[ending(word)] -= n
-            size[ending(word)] -= 1
-    return Vocabulary([w for w, _ in pairs], np.array([n for _, n in pairs], np.int64), own, total, distinct,
-                      np.log10(mass + 0.5 * (size + 1)))
+            mass[bucket(word)] -= n
+            size[bucket(word)] -= 1
+    return Vocabulary([w for w, _ in pairs], np.array([n for _, n in pairs], np.int64), total, distinct,
+                      mass, np.log10(mass + 0.5 * (size + 1)))
 
 
 def _places(content: bytes, index: Index) -> tuple[list[bytes], np.ndarray]:
@@ -142,76 +139,188 @@ def _places(content: bytes, index: Index) -> tuple[list[bytes], np.ndarray]:
     return found, np.fromiter(map(index.__getitem__, found), np.int64, len(found))
 
 
-def _entries(found: list[bytes], at: np.ndarray, entry_of: np.ndarray, own: int) -> np.ndarray:
-    entries = entry_of[at]
+def _entries(found: list[bytes], at: np.ndarray, own: int) -> np.ndarray:
+    """The vector of each word."""
+    entries = at.copy()
     for k in np.flatnonzero(at < 0):
-        entries[k] = own + ending(found[k])
+        entries[k] = own + bucket(found[k])
     return entries
 
 
-def neighbour_counts(train: DataFrame, vocab: Vocabulary) -> np.ndarray:
-    """How often an entry follows another in the training documents; the first word follows the end."""
-    shared = train.sparkSession.sparkContext.broadcast(vocab)
-    size = vocab.own + CLASSES
+def _before(entries: np.ndarray) -> np.ndarray:
+    """(token, place): the words before each token of a text, nearest first; the end stands before the first."""
+    padded = np.concatenate([np.zeros(CONTEXT, np.int64), entries])
+    return np.stack([padded[CONTEXT - k:len(padded) - k] for k in range(1, CONTEXT + 1)], 1)
+
+
+def _classes(sizes: np.ndarray) -> np.ndarray:
+    """Class of each vector: runs by falling count with about the same sum of roots."""
+    n = max(1, round(len(sizes) ** 0.5 * 0.7))
+    order = np.argsort(-sizes, kind="stable")
+    so_far = np.cumsum(np.sqrt(sizes[order] + 0.5))
+    made = np.empty(len(sizes), np.int64)
+    made[order] = np.unique(np.minimum((so_far / so_far[-1] * n).astype(np.int64), n - 1), return_inverse=True)[1]
+    return made
+
+
+def _log_sum(scores: np.ndarray) -> np.ndarray:
+    most = scores.max(1, keepdims=True)
+    return (most + np.log(np.exp(scores - most).sum(1, keepdims=True)))[:, 0]
 
-    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index, entry_of = shared.value.index(), shared.value.entries()
-        pairs = np.zeros(size * size, np.int64)
-        for batch in batches:
-            for content in texts(batch["text"]):
-                entries = _entries(*_places(content, index), entry_of, size - CLASSES)
-                before = np.concatenate(([0], entries[:-1]))
-                np.add.at(pairs, before * size + entries, 1)
-        used = np.flatnonzero(pairs)
-        for start in range(0, len(used), 100_000):
-            part = used[start:start + 100_000]
-            yield pd.DataFrame({"pair": part.astype(np.int32), "n": pairs[part]})
 
-    summed = train.mapInPandas(counted, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
-    matrix = np.zeros(size * size)
-    matrix[summed["pair"].to_numpy()] = summed["n"].to_numpy()
-    return matrix.reshape(size, size)
+def _summed(places: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct places and the sum of the rows of each."""
+    order = np.argsort(places, kind="stable")
+    held = places[order]
+    starts = np.flatnonzero(np.concatenate(([True], held[1:] != held[:-1])))
+    return held[starts], np.add.reduceat(rows[order], starts)
 
 
 @dataclass
 class Bilinear:
-    vectors: np.ndarray  # (entry, width)
-    turn: np.ndarray  # (width, width)
-    bias: np.ndarray
-
-    def logs(self) -> np.ndarray:
-        """Normalised log10-probabilities (entry before, entry)."""
-        scores = (self.vectors @ self.turn) @ self.vectors.T + self.bias
-        scores -= scores.max(1, keepdims=True)
-        return ((scores - np.log(np.exp(scores).sum(1, keepdims=True))) / np.log(10)).astype(np.float32)
+    reads: np.ndarray  # (entry, width): as a word before
+    vectors: np.ndarray  # (entry, width + 1): as the word itself; the last is its bias
+    class_vectors: np.ndarray  # (class, width + 1)
+    turns: np.ndarray  # (place, width)
+    classes: np.ndarray  # of each entry
 
+    def hidden(self, before: np.ndarray) -> np.ndarray:
+        summed = sum(self.reads[before[:, k]] * self.turns[k] for k in range(before.shape[1]))
+        return np.concatenate([summed, np.ones((len(before), 1), np.float32)], 1)
 
-def train_bilinear(pairs: np.ndarray, steps: int = STEPS, width: int = WIDTH) -> Bilinear:
-    """Noise-contrastive estimation by Adam over all pairs; the noise is the unigram distribution."""
-    size = len(pairs)
-    noise = pairs.sum(0) + 0.5
-    noise /= noise.sum()
+    def logs(self) -> np.ndarray:
+        """Normalised log10-probabilities (entry before, class), after a text that begins with the entry."""
+        before = np.zeros((len(self.reads), CONTEXT), np.int64)
+        before[:, 0] = np.arange(len(before))
+        scores = self.hidden(before) @ self.class_vectors.T
+        return (scores - _log_sum(scores)[:, None]) / np.log(10)
+
+    def members(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Entries by class, where each class starts, and the place of each entry in its class."""
+        order = np.argsort(self.classes, kind="stable")
+        starts = np.searchsorted(self.classes[order], np.arange(len(self.class_vectors) + 1))
+        places = np.empty(len(order), np.int64)
+        places[order] = np.arange(len(order)) - starts[self.classes[order]]
+        return order, starts, places
+
+    def log_probabilities(self, before: np.ndarray, entries: np.ndarray, members: tuple) -> np.ndarray:
+        """log10 for each token: of its class, then of its entry within the class."""
+        order, starts, places = members
+        hidden, classes = self.hidden(before), self.classes[entries]
+        scores = hidden @ self.class_vectors.T
+        out = (scores[np.arange(len(entries)), classes] - _log_sum(scores)).astype(np.float64)
+        by_class = np.argsort(classes, kind="stable")
+        cuts = np.searchsorted(classes[by_class], np.arange(len(starts)))
+        for c in np.flatnonzero((cuts[1:] > cuts[:-1]) & (np.diff(starts) > 1)):
+            rows = by_class[cuts[c]:cuts[c + 1]]
+            inner = hidden[rows] @ self.vectors[order[starts[c]:starts[c + 1]]].T
+            out[rows] += inner[np.arange(len(rows)), places[entries[rows]]] - _log_sum(inner)
+        return out / np.log(10)
+
+
+def untrained(vocab: Vocabulary) -> Bilinear:
+    """The model that predicts every word by its count."""
+    sizes = vocab.sizes() + 0.5
+    classes = _classes(vocab.sizes())
     rng = np.random.default_rng(7)
-    model = [rng.normal(0, 0.1, (size, width)), np.eye(width) * 0.1, np.log(noise)]
-    total = max(pairs.sum(), 1.0)
-    data = (pairs / total).astype(np.float32)
-    against = (NOISE * data.sum(1, keepdims=True) * noise).astype(np.float32)
-    shift = np.log(NOISE * noise).astype(np.float32)
-    first, second = [np.zeros_like(p) for p in model], [np.zeros_like(p) for p in model]
-    for step in range(1, steps + 1):
-        vectors, turn, bias = (p.astype(np.float32) for p in model)
-        turned = vectors @ turn
-        real = 1.0 / (1.0 + np.exp(-np.clip(turned @ vectors.T + bias - shift, -30, 30)))
-        slope = data - (data + against) * real
-        back = slope @ vectors
-        slopes = [back @ turn.T + slope.T @ turned, vectors.T @ back, slope.sum(0)]
-        for k, g in enumerate(slopes):
-            g = g.astype(np.float64)
-            first[k] = 0.9 * first[k] + 0.1 * g
-            second[k] = 0.999 * second[k] + 0.001 * g * g
-            rate = RATE * (1 - step / (steps + 1)) * np.sqrt(1 - 0.999 ** step) / (1 - 0.9 ** step)
-            model[k] = model[k] + rate * first[k] / (np.sqrt(second[k]) + 1e-10)
-    return Bilinear(*model)
+    flat = lambda n: np.concatenate([np.zeros((len(n), WIDTH)), np.log(n / n.sum())[:, None]], 1).astype(np.float32)
+    return Bilinear(rng.normal(0, 0.3, (len(sizes), WIDTH)).astype(np.float32), flat(sizes), flat(np.bincount(classes, sizes)),
+                    (1.0 / np.arange(1, CONTEXT + 1))[:, None].repeat(WIDTH, 1).astype(np.float32), classes)
+
+
+class Trainer:
+    """Steps of noise-contrastive estimation; a row's step falls with the squares of its slopes so far."""
+
+    def __init__(self, model: Bilinear, sizes: np.ndarray, seed: int):
+        self.model, self.rng = model, np.random.default_rng(seed)
+        noise = (sizes + 0.5) / (sizes.sum() + 0.5 * len(sizes))
+        self.until = np.cumsum(noise)
+        self.shift = np.log(NOISE * noise).astype(np.float32)
+        self.class_shift = np.log(NOISE * np.bincount(model.classes, noise)).astype(np.float32)
+        self.tables = [model.reads, model.vectors, model.class_vectors, model.turns]
+        self.squares = [np.ones(len(t), np.float32) for t in self.tables]
+        self.times = [np.zeros(len(t), np.float32) for t in self.tables]
+
+    def move(self, k: int, places: np.ndarray, slopes: np.ndarray) -> None:
+        places, slopes = _summed(places, slopes)
+        self.squares[k][places] += (slopes * slopes).mean(1)
+        self.times[k][places] += 1
+        self.tables[k][places] += RATE * slopes / np.sqrt(self.squares[k][places])[:, None]
+
+    def contrast(self, k: int, hidden: np.ndarray, real: np.ndarray, drawn: np.ndarray, shift: np.ndarray) -> np.ndarray:
+        """Slopes of the hidden vectors, after a move of the predicted ones."""
+        vectors = self.tables[k]
+        good, bad = vectors[real], vectors[drawn]
+        up = 1 - 1 / (1 + np.exp(-np.clip((hidden * good).sum(1) - shift[real], -30, 30)))
+        down = (-NOISE / len(drawn)) / (1 + np.exp(-np.clip(hidden @ bad.T - shift[drawn], -30, 30)))
+        back = up[:, None] * good + down @ bad
+        self.move(k, np.concatenate([real, drawn]), np.concatenate([up[:, None] * hidden, down.T @ hidden]))
+        return back
+
+    def step(self, before: np.ndarray, entries: np.ndarray) -> None:
+        model = self.model
+        drawn = np.minimum(np.searchsorted(self.until, self.rng.random(DRAWN)), len(self.until) - 1)
+        hidden = model.hidden(before)
+        back = self.contrast(1, hidden, entries, drawn, self.shift)
+        back += self.contrast(2, hidden, model.classes[entries], model.classes[drawn], self.class_shift)
+        back = back[:, :-1]
+        turned = np.stack([(back * model.reads[before[:, k]]).sum(0) for k in range(CONTEXT)])
+        self.move(0, before.T.ravel(), np.concatenate([back * model.turns[k] for k in range(CONTEXT)]))
+        self.move(3, np.arange(CONTEXT), turned / len(entries))
+
+
+def trained(train: DataFrame, vocab: Vocabulary) -> Bilinear:
+    """The model after a pass over all training documents, each task over its own, averaged in Spark."""
+    start = untrained(vocab)
+    context = train.sparkSession.sparkContext
+    shared = context.broadcast((vocab, start))
+
+    def learnt(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        vocab, start = shared.value
+        index, own = vocab.index(), len(vocab.words)
+        model = Bilinear(*[t.copy() for t in (start.reads, start.vectors, start.class_vectors, start.turns)], start.classes)
+        trainer, pending, held, seen = Trainer(model, vocab.sizes(), 7), [], [], 0
+
+        def steps(parts: list[tuple[np.ndarray, np.ndarray]]) -> None:
+            before, entries = np.concatenate([b for b, _ in parts]), np.concatenate([e for _, e in parts])
+            for at in range(0, len(entries), STEP):
+                trainer.step(before[at:at + STEP], entries[at:at + STEP])
+
+        for batch in batches:
+            for content in texts(batch["text"]):
+                entries = _entries(*_places(content, index), own)
+                pending.append((_before(entries), entries))
+                seen += len(entries)
+            steps(pending)
+            held = held + pending if seen < LEAST else []
+            pending = []
+        again = seen
+        while held and again < LEAST:
+            steps(held)
+            again += seen
+        if not seen:
+            return
+        old = [start.reads, start.vectors, start.class_vectors, start.turns]
+        for k, (table, times) in enumerate(zip(trainer.tables, trainer.times)):
+            for at in range(0, len(table), PART):
+                part = times[at:at + PART]
+                moved = (table[at:at + PART] - old[k][at:at + PART]) * part[:, None]
+                if part.any():
+                    yield pd.DataFrame({"which": [k], "start": [at], "moved": [moved.tobytes()], "times": [part.tobytes()]})
+
+    def averaged(rows: pd.DataFrame) -> pd.DataFrame:
+        times = sum(np.frombuffer(t, np.float32) for t in rows["times"])
+        moved = sum(np.frombuffer(m, np.float32) for m in rows["moved"]).reshape(len(times), -1)
+        made = (moved / np.maximum(times, 1)[:, None]).astype(np.float32)
+        return pd.DataFrame({"which": rows["which"][:1], "start": rows["start"][:1], "moved": [made.tobytes()]})
+
+    changes = (train.coalesce(context.defaultParallelism).mapInPandas(learnt, "which int, start int, moved binary, times binary")
+               .groupBy("which", "start").applyInPandas(averaged, "which int, start int, moved binary")).toArrow().to_pylist()
+    tables = [start.reads, start.vectors, start.class_vectors, start.turns]
+    for row in changes:
+        table = tables[row["which"]]
+        table[row["start"]:row["start"] + PART] += np.frombuffer(row["moved"], np.float32).reshape(-1, table.shape[1])
+    return start
 
 
 @dataclass
@@ -225,7 +334,7 @@ def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[
     train = training(docs, doc_id, text)
     counts = keep(word_counts(train), "word-counts")
     vocab = vocabulary(counts)
-    return Scorer(vocab, train_bilinear(neighbour_counts(train, vocab))), counts
+    return Scorer(vocab, trained(train, vocab)), counts
 
 
 def score(docs: DataFrame, scorer: Scorer, counts: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -234,21 +343,27 @@ def score(docs: DataFrame, scorer: Scorer, counts: DataFrame, doc_id: str = "doc
     vocab = scorer.vocab
 
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocab, table = shared.value.vocab, shared.value.model.logs()
-        index, entry_of = vocab.index(), vocab.entries()
+        vocab, model = shared.value.vocab, shared.value.model
+        index, own, members = vocab.index(), len(vocab.words), model.members()
         logs = np.log10(vocab.counts + 0.5)
         for batch in batches:
-            out = []
+            out, before, entries = [], [], []
             for content in texts(batch["text"]):
                 found, at = _places(content, index)
-                entries = _entries(found, at, entry_of, vocab.own)
-                known, rare = at[at >= 0], entries[entries >= vocab.own] - vocab.own
-                modelled = table[np.concatenate(([0], entries[:-1])), entries].sum(dtype=np.float64)
+                units = _entries(found, at, own)
+                known = at[at >= 0]
                 lacking = Counter(found[k] for k in np.flatnonzero(at < 0))
-                out.append((
+                before.append(_before(units))
+                entries.append(units)
+                out.append([
                     len(found), int((vocab.counts[known] > 0).sum()), logs[known].sum(),
-                    modelled + logs[known[known >= vocab.own]].sum() - vocab.class_logs[rare].sum(),
-                    list(lacking), list(lacking.values())))
+                    -vocab.bucket_logs[units[at < 0] - own].sum(), list(lacking), list(lacking.values())])
+            joined, contexts = np.concatenate(entries), np.concatenate(before)
+            modelled = np.concatenate([model.log_probabilities(contexts[k:k + PIECE], joined[k:k + PIECE], members)
+                                       for k in range(0, len(joined), PIECE)])
+            starts = np.cumsum([0] + [len(e) for e in entries])[:-1]
+            for row, part in zip(out, np.add.reduceat(modelled, starts)):
+                row[3] += part
             made = pd.DataFrame(out, columns=["n_tokens", "found", "base_part", "model_part", "words", "times"])
             yield pd.concat([batch[["row", "doc_id"]].reset_index(drop=True), made], axis=1)
 

@@ -159,6 +159,22 @@ def test_language_model_against_brute_force(spark):
     assert lblm.score(rows, empty, no_counts).count() == len(texts)
 
 
+def test_language_model_knows_rare_words_and_several_before(spark):
+    rows = docs(spark, [(k, " ".join(f"u{k * 40 + j} v{k * 40 + j}" for j in range(40))) for k in range(80)])
+    scorer, _ = lblm.learn(rows)
+    model, index = scorer.model, scorer.vocab.index()
+    assert len(index) > 4000 and len(model.vectors) == len(index) + lblm.BUCKETS
+    assert len({v.tobytes() for v in model.vectors[:len(index)]}) > 4000
+    every = lblm.np.arange(len(model.vectors))
+    for words in ([b"u0", b"v1", b""], [b"u0", b"v2", b""], [b"u0", b"v1", b"u3"]):
+        before = lblm.np.tile([index[w] for w in words if w in index] or [0], (len(every), 1))
+        before = lblm.np.pad(before, ((0, 0), (0, lblm.CONTEXT - before.shape[1])))
+        assert (10.0 ** model.log_probabilities(before, every, model.members())).sum() == pytest.approx(1.0, abs=1e-3)
+    known = [k for k in range(1, 40)]
+    near = lblm.np.array([[5, k, 0] for k in known])
+    assert len(set(model.log_probabilities(near, lblm.np.full(len(near), 7), model.members()))) > 30
+
+
 def test_languages(spark):
     german = "der schnelle braune fuchs und die alten leute waren nicht mit dem hund im garten "
     texts = [(k, (PLAIN if k % 2 else german) + f" name{k}") for k in range(80)] + [(90, None), (91, ""), (92, "123 !!"), (93, german), (93, german)]
