@@ -2,6 +2,7 @@
 
 import collections
 import math
+import textwrap
 import zlib
 
 import pytest
@@ -211,6 +212,26 @@ def test_licences(spark):
     assert out == {(1, 0): "MIT", (2, 0): None, (3, 0): None, (4, 0): None, (4, 2): "MIT", (5, 0): None}
 
 
+def test_licences_however_wrapped(spark):
+    full = [(n, t) for n, t in licenses.all_known() if "\n" in t]
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "BSD-3-Clause", "MPL-2.0", "ISC", "MIT"} <= {n for n, _ in full}
+
+    def wrapped(text, width):
+        parts = [p if p.strip().startswith(("Copyright (", "Copyright [")) else textwrap.fill(" ".join(p.split()), width, break_long_words=False) for p in text.split("\n\n")]
+        return "\n\n".join(parts).replace("<year>", "2019").replace("<copyright holders>", "A. Person")
+
+    texts = [(f"{k}-{width}", name, wrapped(t, width)) for k, (name, t) in enumerate(full)
+             if name not in ("LGPL-2.1", "LGPL-3.0", "GPL-2.0", "GPL-3.0", "CC0-1.0") for width in (40, 60, 72, 80, 10_000)]
+    isc = next(t for n, t in full if n == "ISC").replace("the above copyright", "the above\ncopyright")
+    texts += [("isc", "ISC", isc.replace("ISC License", "The ISC License")), ("gpl", "GPL-3.0", dict(full)["GPL-3.0"].split("END OF TERMS")[0])]
+    bsd = dict(full)["BSD-3-Clause"]
+    texts += [("bsd", "BSD-3-Clause", "BSD 3-Clause License\n\n" + bsd.replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* ").replace("the copyright holder nor", "Some Lab nor"))]
+    texts += [("sentence", None, "Copyright notices are a topic.\n" + isc)]
+    numbered = [(k, text) for k, (_, _, text) in enumerate(texts)]
+    out = {r["doc_id"]: r["license_id"] for r in licenses.scan(docs(spark, numbered)).where("line_no = 0").collect()}
+    assert {texts[k][0]: v for k, v in out.items() if v != texts[k][1]} == {}
+
+
 def test_pipeline(spark, folder):
     kept = corpus_pipeline.run(spark, folder)
     ids = [r["doc_id"] for r in kept.collect()]
