@@ -5,6 +5,9 @@ menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 comments.  Its containers are scored, the best path is its vote, votes are counted per host
 in Spark, and each page is extracted again from the host's winning path that fits it best.
 
+Names that may also stand around the article (`with-sidebar`, `elementor-widget`) drop a part
+only if the parts of that name do not hold the main unlinked text of the page.
+
 Null and empty pages give the empty text; pages without a readable address share one host;
 a page in which no winning path occurs falls back on its own best container; pages of any
 length are read whole; repeated rows are extracted each; ties go to the smaller path.
@@ -51,6 +54,11 @@ DROPPED_NAMES = frozenset(
     "search breadcrumb breadcrumbs share sharing social related recommended recommendations comment comments disqus "
     "respond replies reply promo promotion widget widgets pagination pager toolbar copyright".split())
 KEPT_NAMES = frozenset("article content post entry main story text page body".split())
+# Words that also name parts around an article, alone or only as a part of a longer name.
+AMBIGUOUS_NAMES = frozenset("widget widgets notice notices related recommended recommendations".split())
+AMBIGUOUS_PARTS = AMBIGUOUS_NAMES | frozenset("sidebar aside nav navbar navigation header footer".split())
+WRAPS = frozenset("with has no without content layout".split())  # first parts of names that say what a part has
+MAIN_SHARE = 0.5  # of a page's unlinked text, so that parts with an ambiguous name stay
 NEVER_DROPPED = frozenset("html body main article".split())
 
 
@@ -70,7 +78,41 @@ def _is_dropped(tag: str, attributes: dict[str, str]) -> bool:
     parts = [re.split(r"[-_\d]+", name) for name in _names(attributes)]
     if any(part[0] in KEPT_NAMES and not DROPPED_NAMES.intersection(part) for part in parts):
         return False
-    return any(part[0] in DROPPED_NAMES or part[-1] in DROPPED_NAMES for part in parts)
+    return any(_is_named(part) and not _is_ambiguous(part) for part in parts)
+
+
+def _is_named(part: list[str]) -> bool:
+    return part[0] in DROPPED_NAMES or part[-1] in DROPPED_NAMES
+
+
+def _is_ambiguous(part: list[str]) -> bool:
+    if len(part) == 1:
+        return part[0] in AMBIGUOUS_NAMES
+    words = DROPPED_NAMES.intersection((part[0], part[-1]))
+    return part[0] in WRAPS or words <= AMBIGUOUS_PARTS
+
+
+def _ambiguous_name(tag: str, attributes: dict[str, str]) -> str | None:
+    """The name for which a part that is not dropped at once may still be dropped."""
+    if not attributes or tag in NEVER_DROPPED:
+        return None
+    parts = [re.split(r"[-_\d]+", name) for name in _names(attributes)]
+    if any(part[0] in KEPT_NAMES and not DROPPED_NAMES.intersection(part) for part in parts):
+        return None
+    return next(("-".join(part) for part in parts if _is_named(part)), None)
+
+
+def _without_side_parts(blocks: list[tuple[str, str, int]], chains: list[tuple[str, ...]]) -> list[tuple[str, str, int]]:
+    """Blocks that stand in no ambiguous part, or only in parts whose name holds the main unlinked text of the page."""
+    if not any(chains):
+        return blocks
+    worth = [len(text) - linked for _, text, linked in blocks]
+    held: dict[str, int] = {}
+    for chain, n in zip(chains, worth):
+        for name in set(chain):
+            held[name] = held.get(name, 0) + n
+    stays = {name for name, n in held.items() if n > 0 and n >= MAIN_SHARE * sum(worth)}
+    return [block for block, chain in zip(blocks, chains) if stays.issuperset(chain)]
 
 
 def _step(tag: str, attributes: dict[str, str]) -> str:
@@ -81,9 +123,10 @@ def _step(tag: str, attributes: dict[str, str]) -> str:
 def read_blocks(page: str | None) -> list[tuple[str, str, int]]:
     """Path, text and characters inside links of each block that is not dropped, in page order."""
     blocks: list[tuple[str, str, int]] = []
-    stack: list[tuple[str, str, bool]] = []  # tag, path, dropped
+    chains: list[tuple[str, ...]] = []  # names of the ambiguous parts around each block
+    stack: list[tuple[str, str, bool, tuple[str, ...]]] = []  # tag, path, dropped, chain
     parts: list[str] = []
-    linked, in_link, path, dropped = 0, 0, "", False
+    linked, in_link, path, dropped, chain = 0, 0, "", False, ()
 
     def flush() -> None:
         nonlocal linked
@@ -91,6 +134,7 @@ def read_blocks(page: str | None) -> list[tuple[str, str, int]]:
             text = " ".join("".join(parts).split())
             if text:
                 blocks.append((path, text, min(linked, len(text))))
+                chains.append(chain)
             parts.clear()
         linked = 0
 
@@ -102,9 +146,11 @@ def read_blocks(page: str | None) -> list[tuple[str, str, int]]:
             linked += len(text) * bool(in_link)
 
     def leave(depth: int) -> None:
-        nonlocal path, dropped
+        nonlocal path, dropped, chain
         del stack[depth:]
-        _, path, dropped = stack[-1] if stack else ("", "", False)
+        if chain != (stack[-1][3] if stack else ()):
+            flush()
+        _, path, dropped, chain = stack[-1] if stack else ("", "", False, ())
 
     page = page or ""
     at = 0
@@ -142,13 +188,17 @@ def read_blocks(page: str | None) -> list[tuple[str, str, int]]:
         if tag == "a":
             in_link += 1
         drops = dropped or _is_dropped(tag, attributes)
-        if tag in BLOCKS or drops:
-            path = f"{path}>{_step(tag, attributes)}" if not drops else path
+        name = None if drops else _ambiguous_name(tag, attributes)
+        if name:
+            flush()
+            chain = (*chain, name)
+        if tag in BLOCKS or drops or name:
+            path = f"{path}>{_step(tag, attributes)}" if tag in BLOCKS and not drops else path
             dropped = drops
-            stack.append((tag, path, dropped))
+            stack.append((tag, path, dropped, chain))
     add(page[at:])
     flush()
-    return blocks
+    return _without_side_parts(blocks, chains)
 
 
 def container_scores(blocks: list[tuple[str, str, int]]) -> dict[str, float]:

@@ -205,6 +205,21 @@ def test_extraction(spark):
     assert sorted(out) == [(k, "Title First & second line. Next bold after") for k in range(4)] + [(4, ""), (5, ""), (5, "just text")]
 
 
+@pytest.mark.parametrize("name", ["with-sidebar", "has-sidebar", "content-with-sidebar", "layout no-footer", "post-related", "notice"])
+def test_extraction_keeps_an_article_in_a_wrapper(name):
+    article = "".join(f"<p>{PLAIN}</p>" for _ in range(5))
+    side = "<div class='sidebar'><p>side words</p></div><div class='left-sidebar'>more</div><div class='cookie-notice'>eat</div>"
+    page = f"<html><body><div class='{name}'><div class='post'>{article}</div>{side}</div></body></html>"
+    assert extract.main_text(page, {}) == " ".join([PLAIN.strip()] * 5)
+
+
+def test_extraction_keeps_page_builder_blocks():
+    blocks = "".join(f"<div class='elementor-element elementor-widget elementor-widget-text-editor'><p>{k} {PLAIN}</p></div>" for k in range(6))
+    side = "<div class='widget'><p>recent posts</p></div><div class='related-posts'><a href='/x'>other</a></div>"
+    page = f"<html><body><div class='entry'>{blocks}{side}</div></body></html>"
+    assert extract.main_text(page, {}) == " ".join(f"{k} {PLAIN.strip()}" for k in range(6))
+
+
 def test_licences(spark):
     mit = dict(licenses.known()[:8])["MIT"]
     texts = [(1, mit.replace("<year>", "1999").upper()), (2, None), (3, ""), (4, "x\nReleased under the MIT licence!\ny"), (5, LONG)]
