@@ -98,4 +98,54 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
        sum(body + frame + 7)::BIGINT AS formatted_chars, true AS round_trip
 FROM sized GROUP BY conv_id"""
 
-SQL = {"op2_quality_rules": OP2, "op5_license_scans": _op5(), "op7_mixing": OP7, "op10_chat_formatting": OP10}
+OP11 = rf"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, {_WORDS} AS w
+              FROM documents),
+failing AS (
+  SELECT d.r, part, d.doc_id, [len(w) < 50, 100 * len(list_distinct(w)) < 65 * len(w),
+         100 * len(regexp_extract_all(text, '[A-Z]')) > 5 * length(text), regexp_matches(text, '[#$%&*|]'),
+         coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)] AS f FROM docs d),
+labelled AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+                    max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+counted AS (SELECT part, f, count(*) AS n, count(*) FILTER (good = 1) AS good, count(*) FILTER (toxic = 1) AS toxic
+            FROM failing LEFT JOIN labelled USING (doc_id) GROUP BY part, f),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+orders AS (SELECT a.c || b.c || d.c || e.c || f.c AS filter_order FROM letters a, letters b, letters d, letters e, letters f
+           WHERE a.c NOT IN (b.c, d.c, e.c, f.c) AND b.c NOT IN (d.c, e.c, f.c) AND d.c NOT IN (e.c, f.c) AND e.c <> f.c),
+steps AS (SELECT filter_order, s.step, filter_order[s.step] AS letter,
+                 ascii(filter_order[s.step]) - 64 AS here,
+                 [ascii(x) - 64 FOR x IN string_split(filter_order[1:s.step - 1], '') IF x <> ''] AS before
+          FROM orders, (SELECT unnest(range(1, 6)) AS step) s),
+shown AS (
+  SELECT part, filter_order, step, letter,
+         coalesce(sum(n) FILTER (NOT f[here] AND NOT gone), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (f[here] AND NOT gone), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (f[here] AND gone), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (f[here] AND len(list_filter(f, lambda x: x)) = 1), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (f[here] AND NOT gone), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER (f[here] AND NOT gone), 0)::BIGINT AS toxic_lost
+  FROM (SELECT *, len(list_filter(before, lambda x: f[x])) > 0 AS gone FROM counted, steps) GROUP BY ALL)
+SELECT part, filter_order, step::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley FROM shown"""
+
+_FINITE = "len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+OP12 = f"""
+WITH rws AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND {_FINITE}),
+pairs AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+                 list_dot_product(a.v, b.v)::BIGINT AS score
+          FROM rws a JOIN rws b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM pairs WHERE same
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+found AS (SELECT p.*, n.id AS negative_id, n.score AS negative_score,
+                 row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY n.score DESC, n.id) AS rank
+          FROM positives p JOIN pairs n USING (anchor_id)
+          WHERE NOT n.same AND 80 * positive_score <= 100 * n.score AND 100 * n.score <= 100 * positive_score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM found WHERE rank <= 5"""
+
+SQL = {"op2_quality_rules": OP2, "op5_license_scans": _op5(), "op7_mixing": OP7, "op10_chat_formatting": OP10,
+       "op11_filter_audit": OP11,
+       "op12_hard_negatives": OP12}

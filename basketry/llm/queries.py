@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, decontam, extract, langid, lblm, licenses, mixing, neardup, rules, toxicity
+from basketry.llm import (
+    chat, decontam, extract, filter_audit, hard_negatives, hnsw, langid, lblm, licenses, mixing, neardup, rules, toxicity,
+)
 from basketry.llm.common import prepare, remainder, table
 from basketry.llm.oracle import SQL
 
@@ -96,11 +98,32 @@ def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
         F.char_length("formatted").cast("long").alias("formatted_chars"), "round_trip")
 
 
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    prepare(spark)
+    return filter_audit.audit_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Anchors: ids divisible by 100; the label of every seventh id is moved on by one."""
+    prepare(spark)
+    rows = table(spark, folder, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+def op13_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """Queries: ids divisible by 50; the graphs hold every row."""
+    prepare(spark)
+    rows = table(spark, folder, "embeddings")
+    return hnsw.search(hnsw.build(rows), rows.where(F.col("vec_id") % 50 == 0))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
     made = [op1_decontamination, op2_quality_rules, op3_html_extraction, op4_toxicity, op5_license_scans,
-            op6_lm_scoring, op7_mixing, op8_near_duplicates, op9_language_id, op10_chat_formatting]
+            op6_lm_scoring, op7_mixing, op8_near_duplicates, op9_language_id, op10_chat_formatting,
+            op11_filter_audit, op12_hard_negatives, op13_nearest_neighbours]
     return {f.__name__: f for f in made} | {"pipeline": corpus_pipeline.run}
 
 
