@@ -210,6 +210,17 @@ def contract(links: DataFrame) -> DataFrame:
         before = state
 
 
+def grown(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, root) with more links (a, b): only these are contracted, between the roots there are."""
+    moved = links
+    for side in ("a", "b"):
+        own = roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
+        moved = moved.join(own, side, "left").withColumn(side, F.coalesce(f"root_{side}", side)).drop(f"root_{side}")
+    joined = contract(moved)
+    further = joined.select(F.col("node").alias("root"), F.col("root").alias("next"))
+    return keep(roots.join(further, "root", "left").select("node", F.coalesce("next", "root").alias("root")).union(joined), "roots")
+
+
 def _confirm(pairs: DataFrame, contents: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     for side in ("a", "b"):
@@ -228,7 +239,7 @@ def link_classes(classes: DataFrame, docs: DataFrame, doc_id: str, text: str) ->
     contents = keep(contents, "contents")
     marks = ["n_shingles", "sketch", "parity"]
     thin = keep(classes.select("id", *marks).join(ids, "id", "left_semi"), "sketches")
-    found = roots = before = None
+    roots = before = None
     for step in range(STAR_ROUNDS + 1):
         placed = members.withColumn("root", F.col("id")) if roots is None else keep(members.join(
             roots, F.col("id") == F.col("node"), "left").select("bucket", "id", F.coalesce("root", "id").alias("root")), "placed")
@@ -254,8 +265,7 @@ def link_classes(classes: DataFrame, docs: DataFrame, doc_id: str, text: str) ->
             compared = rest.drop("bucket").distinct().join(leaders, (F.col("leader") == F.col("b_id")) & may_be_linked("a_", "b_"))
         compared = compared.select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")).distinct()
         links = _confirm(compared, contents)
-        found = links if found is None else found.union(links)
-        roots = contract(found)
+        roots = contract(links) if roots is None else grown(roots, links)
         if last:
             break
     if roots is None:

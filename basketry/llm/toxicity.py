@@ -127,16 +127,18 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
             batch["features"] = [part.astype(np.int32) for part in np.split(once & ((1 << BITS) - 1), ends)]
             yield batch[["id", "label", "features"]]
 
-    gathered = rows.mapInPandas(counted, "id long, label int, features array<int>").toArrow()
-    ids = gathered["id"].to_numpy()
-    order = np.lexsort((ids, [zlib.crc32(str(i).encode()) for i in ids])) if len(ids) else []
-    features, label_of = gathered["features"], gathered["label"].to_numpy()
-    examples: dict[bytes, tuple[np.ndarray, int]] = {}  # a copied text is one example
-    for i in order:
-        found = np.asarray(features[int(i)].values, np.int64)
-        _, known = examples.get(found.tobytes(), (None, 0))
-        examples[found.tobytes()] = found, max(known, int(label_of[i]))
-    return fit(list(examples.values()))
+    # A copied text is one example, toxic if one copy is; so rows that share an id add no more
+    # than their distinct texts, and what comes to the driver is bounded by rows too.
+    place = F.struct(F.crc32(F.col("id").cast("string").cast("binary")).alias("mixed"), "id")
+    counts = rows.mapInPandas(counted, "id long, label int, features array<int>")
+    once = counts.groupBy("features").agg(F.min(place).alias("place"), F.max("label").alias("label"))
+    gathered = once.orderBy("place", "features").limit(sample).select("features", "label").toArrow()
+    examples: list[tuple[np.ndarray, int]] = []
+    for batch in gathered.to_batches():
+        features = batch.column("features")
+        values, ends, labels_of = features.values.to_numpy(), features.offsets.to_numpy(), batch.column("label").to_numpy()
+        examples.extend((values[ends[k]:ends[k + 1]], int(labels_of[k])) for k in range(len(batch)))
+    return fit(examples)
 
 
 def score(weights: Weights, docs: DataFrame, text: Column) -> Column:
