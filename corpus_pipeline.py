@@ -2,18 +2,22 @@
 
 A stage takes all rows its predecessor kept and returns the rows it keeps, with all their
 columns; the last adds how often and with how many words a document is taken.  Rows with
-null or empty texts pass the toxicity test, but no language can be told for them.  The
-stages work on columns of their own, so extra columns of the documents are carried along.
+null or empty texts pass the toxicity test, but no language can be told for them.  Of repeated
+rows, and of ties between copies, the row stored first stays; rows that share an id, or have a
+null one, are told apart by their texts.  The stages work on columns of their own, so extra
+columns of the documents are carried along.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm import decontam, langid, mixing, neardup, toxicity
 from basketry.llm.common import keep, prepare, table
 
+ROW = "__pipeline_row"
+
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below the level."""
@@ -31,22 +35,19 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each near-duplicate group; of rows that share an id, one.
+    """The first row of each near-duplicate group.
 
-    Texts stay where they are unless their id may be one of those that lose a row.
+    Rows are grouped by a number of their own, so documents that share an id, or have none, are
+    told apart by their texts alone.  Texts stay where they are unless their row may be one of
+    those that go.
     """
     prepare(spark)
-    judged = neardup.components(docs).where("doc_id is not null").groupBy("doc_id").agg(
-        F.max("kept").alias("__stays"), F.count("*").alias("__rows"))
-    touched = keep(judged.where("not __stays or __rows > 1").select("doc_id", "__stays"), "touched")
-    may_be = neardup.sieve(touched.select(F.col("doc_id").alias("id")), docs, "doc_id")
-    split = docs.withColumn("__touched", may_be)
-    sure = split.where(~F.col("__touched")).drop("__touched")
-    open_ones = split.where("__touched").drop("__touched").join(touched, "doc_id", "left").where(
-        F.coalesce("__stays", F.lit(True)))
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    kept = open_ones.withColumn("__nth", nth).where("__nth = 1 or doc_id is null").drop("__nth", "__stays")
-    return sure.unionByName(kept.select(*docs.columns))
+    numbered = keep(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+    judged = neardup.components(numbered, doc_id=ROW)
+    gone = keep(judged.where("not kept").select(F.col("doc_id").alias(ROW)), "copies")
+    split = numbered.withColumn("__open", neardup.sieve(gone.select(F.col(ROW).alias("id")), numbered, ROW))
+    sure, open_ones = split.where("not __open"), split.where("__open")
+    return sure.unionByName(open_ones.join(gone, ROW, "left_anti")).select(*docs.columns)
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
