@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
+import corpus_pipeline
 from basketry.llm import filter_audit, hard_negatives, hnsw
 from basketry.llm.common import prepare, table
 
@@ -190,3 +191,14 @@ def test_graph_reaches_every_node():
 def test_registered(spark, folder):
     made = entry_points.queries()["op13_nearest_neighbours"](spark, folder)
     assert dict(made.dtypes) == {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "double"} and made.count() > 0
+
+
+def test_pipeline_stages_keep_rows_apart_by_text(spark):
+    other = " ".join(f"garden{k}" for k in range(40))
+    plain = "the quick brown fox and the lazy dog were in the garden with a friend of the old man by the river"
+    rows = [(1, plain, "a"), (1, other, "b"), (2, plain + " and", "c"), (None, "one two three four five six seven", "d"),
+            (None, "one two three four five six seven", "e"), (None, None, "f"), (3, "", "g"), (3, "", "h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __stays string")
+    near = dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, None)
+    assert near.columns == docs.columns
+    assert sorted(r["__stays"] for r in near.collect()) == ["a", "b", "d", "f", "g", "h"]
