@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from basketry.checks.oracle import cents, query
 from basketry.checks.registry import case
 from basketry.operators import discovery, iprange, profile, quality
-from basketry.plans import catalog, dims, enrichment, facts, mart, warehouse
-from basketry.session import fresh_path
+from basketry.plans import catalog, dims, enrichment, facts, mart, reports, warehouse
+from basketry.session import cut_lineage, fresh_path
 from basketry.sinks import writers
 from basketry.sinks.merge import merge_by_key
 from basketry.sources import readers, schemas
@@ -227,18 +227,117 @@ def _fields(table, **values):
     return {f: values.get(f, f) for f in schemas.PROFILE_FIELDS[table]}
 
 
-@case("mod22_data_profile", query(" UNION ALL ".join([
-    _profile_sql("raw_summary", _RAW_EVENTS, _fields("raw_summary", time_stamp="CAST(time_stamp AS VARCHAR)")),
-    _profile_sql("raw_ip_location", "ipl", _fields("raw_ip_location", country_name="raw_country", city_name="raw_city")),
-    _profile_sql("raw_products", "part", _fields(
+_PROFILED = {
+    "raw_summary": (_RAW_EVENTS, _fields("raw_summary", time_stamp="CAST(time_stamp AS VARCHAR)")),
+    "raw_ip_location": ("ipl", _fields("raw_ip_location", country_name="raw_country", city_name="raw_city")),
+    "raw_products": ("part", _fields(
         "raw_products", product_id="CASE WHEN p_partkey % 211 <> 0 THEN CAST(p_partkey AS VARCHAR) END",
         name="CASE WHEN p_partkey % 53 = 0 THEN '  ' ELSE p_name END", sku="p_brand",
         price="CAST(p_retailprice AS VARCHAR)", category="p_type",
         gender="CASE WHEN p_size % 11 <> 8 THEN CAST(p_size % 11 AS VARCHAR) END")),
-])))
-def _(i):
+}
+
+
+def _profiled(i):
     tables = {"raw_summary": i.events, "raw_ip_location": i.ip_locations, "raw_products": i.products}
-    return profile.profile_tables({name: (df, schemas.PROFILE_FIELDS[name]) for name, df in tables.items()})
+    return {name: (df, schemas.PROFILE_FIELDS[name]) for name, df in tables.items()}
+
+
+@case("mod22_data_profile", query(" UNION ALL ".join(_profile_sql(name, *spec) for name, spec in _PROFILED.items())))
+def _(i):
+    return profile.profile_tables(_profiled(i))
+
+
+def _report_sql(titles, parts, checks):
+    """Lines of the profile report: a fixed list of columns, then what the profile SQL says about the fields."""
+    fixed = [("00", k, t) for k, t in enumerate([f"# {titles}", ""])]
+    for number, (name, schema) in enumerate(parts.items(), 1):
+        texts = [f"## Table `{name}`", "", "### Schema", "", "| Column | Type | Nullable |", "|---|---|---|"]
+        texts += [f"| {f.name} | {f.dataType.simpleString()} | YES |" for f in schema]
+        fixed += [(f"{number:02d}.1", k, t) for k, t in enumerate(texts)]
+        texts = ["", None, "", "| Field | Null count | Null % | Distinct count |", "|---|---|---|---|"]
+        fixed += [(f"{number:02d}.2", k, t) for k, t in enumerate(texts) if t is not None]
+    fixed += [("99", k, t) for k, t in enumerate(["", "## Type checks", ""])]
+    rows = ", ".join(f"('{s}', {k}, '{t}')" for s, k, t in fixed)
+    tables = ", ".join(f"('{name}', '{number:02d}.2')" for number, name in enumerate(parts, 1))
+    places = ", ".join(f"('{name}', '{f}', {k})" for name in parts for k, f in enumerate(schemas.PROFILE_FIELDS[name], 5))
+    return f"""
+SELECT 'data_profile' AS report, section, line::BIGINT AS line, text FROM (
+SELECT * FROM (VALUES {rows}) v(section, line, text)
+UNION ALL SELECT section, 1, '### Null and distinct counts (total ' || format('{{:,}}', max(total)) || ' rows)'
+FROM profiled JOIN (VALUES {tables}) t(table_name, section) USING (table_name) GROUP BY section
+UNION ALL SELECT section, line, '| ' || field || ' | ' || format('{{:,}}', null_count) || ' | ' || printf('%.2f', null_percent)
+  || '% | ' || format('{{:,}}', distinct_count) || ' |'
+FROM profiled JOIN (VALUES {tables}) t(table_name, section) USING (table_name)
+     JOIN (VALUES {places}) p(table_name, field, line) USING (table_name, field)
+UNION ALL {checks})"""
+
+
+_RAW_TABLES = {"raw_summary": schemas.EVENTS, "raw_ip_location": schemas.IP_LOCATIONS, "raw_products": schemas.PRODUCTS}
+_CHECKED = """
+SELECT '99', 3, '- `raw_summary.time_stamp`: values that are no whole number: **0** ok'
+UNION ALL SELECT '99', 4, '- `raw_products.product_id`: values that are no whole number: **0** ok'
+UNION ALL SELECT '99', 5, '- `raw_products.price`: values that are no whole number: **'
+  || format('{:,}', count(CASE WHEN p_retailprice <> floor(p_retailprice) OR true THEN 1 END)) || '** to be checked' FROM part"""
+_PROFILE_ROWS = " UNION ALL ".join(_profile_sql(name, *spec) for name, spec in _PROFILED.items())
+
+
+@case("snk17_mod22_profile_report", query(
+    _report_sql("Data profile", _RAW_TABLES, _CHECKED).replace("FROM profiled", f"FROM ({_PROFILE_ROWS}) profiled")))
+def _(i):
+    checks = [("raw_summary", "time_stamp"), ("raw_products", "product_id"), ("raw_products", "price")]
+    stored = {name: (cut_lineage(df, name), fields) for name, (df, fields) in _profiled(i).items()}
+    return _written(i, reports.profile_report(i.spark, stored, checks))
+
+
+@case("snk17_mod21_discovery_report", f"""
+WITH seen AS (SELECT grp, path, type FROM ({_PATHS}) WHERE type IS NOT NULL),
+typed AS (SELECT grp, path, string_agg(DISTINCT type, ', ' ORDER BY type) AS types FROM seen GROUP BY grp, path),
+master AS (SELECT path, string_agg(DISTINCT type, ', ' ORDER BY type) AS types FROM seen GROUP BY path)
+SELECT 'schema_discovery' AS report, section, line::BIGINT AS line, text FROM (
+SELECT * FROM (VALUES ('0', 0, '# Schema discovery'), ('0', 1, ''), ('0', 4, ''), ('1', 0, '## All fields'), ('1', 1, ''),
+                      ('1', 2, '| Field path | Types |'), ('1', 3, '|---|---|')) v(section, line, text)
+UNION ALL SELECT '0', 2, '- Groups: **' || count(DISTINCT grp) || '**' FROM typed
+UNION ALL SELECT '0', 3, '- Fields of all groups: **' || count(*) || '**' FROM master
+UNION ALL SELECT '1', 3 + row_number() OVER (ORDER BY path), '| ' || path || ' | ' || types || ' |' FROM master
+UNION ALL SELECT '2 ' || grp, unnest([0, 1, 2, 3, 4]), unnest(['', '### `' || grp || '` (' || count(*) || ' fields)', '',
+                                                              '| Field path | Types |', '|---|---|']) FROM typed GROUP BY grp
+UNION ALL SELECT '2 ' || grp, 4 + row_number() OVER (PARTITION BY grp ORDER BY path), '| ' || path || ' | ' || types || ' |' FROM typed)""")
+def _(i):
+    found = discovery.discover_schema(i.documents, "collection", "document", [F.asc("event_id")])
+    return _written(i, reports.discovery_report(found))
+
+
+def _written(i, lines):
+    """The lines of one report, each with the text its written file has at its place.
+
+    The text writer keeps the order of the sort: the n-th line of the parts, read in the order
+    of their names, is the n-th line of the report.
+    """
+    lines = cut_lineage(lines, "report")
+    path = fresh_path(i.spark, "reports")
+    reports.write_reports(lines, path)
+    place = F.row_number().over(Window.partitionBy("report").orderBy("file", "at"))
+    read = (i.spark.read.text(path).select("report", F.col("value").alias("text"), F.col("_metadata.file_name").alias("file"),
+                                           F.monotonically_increasing_id().alias("at")).withColumn("n", place))
+    wanted = lines.withColumn("n", F.row_number().over(Window.partitionBy("report").orderBy("section", "line")))
+    return wanted.drop("text").join(read.select("report", "n", "text"), ["report", "n"]).drop("n")
+
+
+@case("agg7_sketches_per_load", query(f"""
+SELECT field, count(*) AS total, count(CASE WHEN v IS NULL THEN 1 END) AS null_count, true AS is_close
+FROM (SELECT unnest([{', '.join(repr(f) for f in _PROFILED['raw_summary'][1])}]) AS field,
+             unnest([{', '.join(_PROFILED['raw_summary'][1].values())}]) AS v FROM {_RAW_EVENTS}) GROUP BY field"""))
+def _(i):
+    # Two loads, one of them repeated, add up to the profile of all events.
+    fields, path = schemas.PROFILE_FIELDS["raw_summary"], fresh_path(i.spark, "sketches")
+    for load, df in {"a": i.checkouts, "b": i.browsing}.items():
+        profile.write_load_sketches(df, fields, path, load)
+    profile.write_load_sketches(i.browsing, fields, path, "b")
+    merged = profile.merge_sketches(i.spark.read.parquet(path)).withColumnRenamed("distinct_count", "estimate")
+    exact = profile.profile_columns(i.events, fields).select("field", "distinct_count")
+    close = F.abs(F.col("estimate") - F.col("distinct_count")) <= 0.05 * F.col("distinct_count")
+    return merged.join(exact, "field").select("field", "total", "null_count", close.alias("is_close"))
 
 
 @case("mod23_raw_export", query("""
