@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from basketry.functions import business, jsontext
 from basketry.functions.dates import utc_date
@@ -77,24 +77,34 @@ def checkout_cart_items(events: DataFrame, currency_rates: DataFrame) -> DataFra
     )
 
 
-def currency(events: DataFrame, currency_rates: DataFrame) -> DataFrame:
-    """Every symbol that occurs in a cart, with its ISO code."""
+def currency_symbols(events: DataFrame, *by: Column) -> DataFrame:
+    """Distinct currency symbols of all carts, for each value of ``by`` if given."""
     items = checkout_events(events).select(
-        F.explode(jsontext.array_items("cart_products")).alias("item")
+        *by, F.explode(jsontext.array_items("cart_products")).alias("item")
     )
-    symbols = items.select(
-        F.nullif(jsontext.scalar("item", "currency"), F.lit("")).alias("currency_symbol")
+    kept = [c for c in items.columns if c != "item"]
+    return items.select(
+        *kept, F.nullif(jsontext.scalar("item", "currency"), F.lit("")).alias("currency_symbol")
     ).distinct()
+
+
+def currencies(symbols: DataFrame, currency_rates: DataFrame) -> DataFrame:
+    """ISO code of every symbol."""
     seed = currency_rates.select(
         "currency_symbol", F.col("currency_code").alias("known_code"), "currency_name"
     )
     code = F.coalesce("known_code", F.lit(business.UNKNOWN_CODE))
-    return lookup(symbols, seed, "currency_symbol").select(
+    return lookup(symbols.select("currency_symbol").distinct(), seed, "currency_symbol").select(
         business.currency_key(code).alias("currency_key"),
         "currency_symbol", code.alias("currency_code"), "currency_name",
     )
 
 
+def currency(events: DataFrame, currency_rates: DataFrame) -> DataFrame:
+    """Every symbol that occurs in a cart, with its ISO code."""
+    return currencies(currency_symbols(events), currency_rates)
+
+
 def location(ip_locations: DataFrame) -> DataFrame:
     """One cleaned place per IP address."""
     cleaned = ip_locations.where(F.col("ip").isNotNull()).select(
@@ -124,19 +134,26 @@ def products(raw_products: DataFrame) -> DataFrame:
     return typed.select(surrogate_key(F.col("product_id").cast("string")).alias("product_key"), "*")
 
 
-def store(events: DataFrame) -> DataFrame:
-    """Stores with the host their checkouts come from most often."""
-    visits = (
-        events.where(
-            (F.col("collection") == CHECKOUT)
-            & F.col("store_id").isNotNull() & F.col("current_url").isNotNull()
-        )
-        # Named apart from the raw column, or the grouping would bind to the untrimmed id.
-        .select(blank_to_null("store_id").alias("store"), url_host("current_url").alias("host"))
-        .groupBy("store", "host").agg(F.count(F.lit(1)).alias("cnt"))
-    )
-    top = first_per_key(visits, ["store"], [F.desc("cnt"), F.asc_nulls_last("host")])
+def store_visits(events: DataFrame, *by: Column) -> DataFrame:
+    """How often checkouts of a store come from a host, for each value of ``by`` if given."""
+    visits = events.where(
+        (F.col("collection") == CHECKOUT)
+        & F.col("store_id").isNotNull() & F.col("current_url").isNotNull()
+    # Named apart from the raw column, or the grouping would bind to the untrimmed id.
+    ).select(*by, blank_to_null("store_id").alias("store"), url_host("current_url").alias("host"))
+    return visits.groupBy(*visits.columns).agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def stores(visits: DataFrame) -> DataFrame:
+    """Stores with their most frequent host."""
+    summed = visits.groupBy("store", "host").agg(F.sum("cnt").alias("cnt"))
+    top = first_per_key(summed, ["store"], [F.desc("cnt"), F.asc_nulls_last("host")])
     return top.select(
         surrogate_key("store").alias("store_key"),
         F.col("store").alias("store_id"), F.col("host").alias("store_domain"),
     )
+
+
+def store(events: DataFrame) -> DataFrame:
+    """Stores with the host their checkouts come from most often."""
+    return stores(store_visits(events))

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from basketry.operators import quality
 from basketry.operators.quality import enforce_contract
 from basketry.plans import dims, facts, mart, staging
+from basketry.plans.staged import StagedDays
 from basketry.session import cut_lineage
-from basketry.sinks.merge import merge_into_partitioned_table
-from basketry.sinks.writers import publish_view, save_table, table_or_none
+from basketry.sinks.versioned import VersionedTable
+from basketry.sinks.writers import publish_view, save_table
 from basketry.sources.readers import Registry
 
 CORE, MART = "core", "mart"
@@ -67,32 +68,50 @@ def sales_fact(r: Registry, cart: DataFrame, currency_rates: DataFrame) -> DataF
         cart, r["stg_location"], r["dim_currency"], r["stg_store"], r["stg_products"], currency_rates)
 
 
+def versioned_root(spark: SparkSession) -> str:
+    """Folder of the tables with a commit log, beside those of the core database."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {CORE}")
+    return spark.catalog.getDatabase(CORE).locationUri.rstrip("/") + "/versioned"
+
+
 def build(spark: SparkSession, events: DataFrame, ip_locations: DataFrame, raw_products: DataFrame,
           currency_rates: DataFrame, *, incremental: bool = False,
-          as_of: datetime.date | None = None) -> Registry:
+          as_of: datetime.date | None = None, root: str | None = None) -> Registry:
     """Build all tables; the registry then refers to what was saved.
 
-    Every table is checked against its contract before it is written.  An incremental
-    run merges the look-back window into the fact, of which it rewrites only the days it
-    touches; the first run, and one that is not incremental, replaces it.
+    Every table is checked against its contract before it is written.  Cart lines and the
+    fact are kept by day below ``root`` and change by one commit each.  An incremental run
+    reads the raw events of the look-back window only, stages their days anew and merges them
+    into the fact, of which it rewrites the days it touches; the first run, and one that is
+    not incremental, replaces both.  Should a run stop between the two commits, the next one
+    with the same window makes up for it.
     """
+    root = root or versioned_root(spark)
+    staged = StagedDays.below(spark, root)
+    fact = VersionedTable(spark, f"{root}/{FACT}", facts.FACT_PARTITION)
+    again = incremental and staged.exists() and fact.exists()
+    as_of = as_of or datetime.datetime.now(datetime.UTC).date()
+    staged.load(events, currency_rates, as_of - datetime.timedelta(days=facts.LOOK_BACK_DAYS) if again else None)
+
     r = define(spark, events, ip_locations, raw_products, currency_rates)
+    r.put(CART, staged.cart())
+    r.put("stg_store", cut_lineage(staged.store(), "stg_store"))
+    r.put("stg_currency", cut_lineage(staged.currency(currency_rates), "stg_currency"))
     for name in STAGING_MODELS:
         publish_view(r[name], name)
 
-    def save(layer: str, name: str, partition_by: list[str] | None = None) -> None:
-        r.put(name, spark.table(save_table(enforce_contract(r[name], name), layer, name, partition_by=partition_by)))
+    def save(layer: str, name: str) -> None:
+        r.put(name, spark.table(save_table(enforce_contract(r[name], name), layer, name)))
 
     for name in [*DIMENSIONS, RATES]:
         save(CORE, name)
 
-    if incremental and table_or_none(spark, f"{CORE}.{FACT}") is not None:
-        batch = sales_fact(r, facts.recent(r[CART], as_of), currency_rates)
-        merge_into_partitioned_table(
-            enforce_contract(batch, FACT), CORE, FACT, facts.MERGE_KEYS, facts.FACT_PARTITION)
-        r.put(FACT, spark.table(f"{CORE}.{FACT}"))
+    if again:
+        fact.merge(enforce_contract(sales_fact(r, facts.recent(r[CART], as_of), currency_rates), FACT), facts.MERGE_KEYS)
     else:
-        save(CORE, FACT, [facts.FACT_PARTITION])
+        fact.replace(enforce_contract(r[FACT], FACT))
+    fact.publish(f"{CORE}.{FACT}")
+    r.put(FACT, fact.read())
     save(MART, FLAT)
     return r
 

@@ -116,3 +116,46 @@ def test_profile_of_all_kinds(spark):
     assert [tuple(r) for r in profile.profile_columns(df.limit(0), ["i"]).collect()] == [("i", 0, 0, 0.0, 0)]
     plan = profile.profile_columns(df, df.columns)._jdf.queryExecution().toString()
     assert "Expand" not in plan
+
+
+def test_window_prunes_the_raw_scan_and_leaves_repeats_out(spark):
+    import datetime
+
+    from basketry.plans.staged import StagedDays, since_day
+    from basketry.sources import schemas
+    from basketry.sources.readers import bundled_currency_rates
+
+    day = 86_400
+
+    def events(found):
+        plain = [{f.name: None for f in schemas.EVENTS.fields} | {
+            "_id": k, "time_stamp": at, "order_id": order, "store_id": "5", "current_url": f"https://{host}/x",
+            "collection": "checkout_success",
+            "cart_products": f'[{{"product_id": {product}, "amount": 1, "price": "2.00", "currency": "{sign}"}}]',
+        } for k, at, order, product, host, sign in found]
+        path = fresh_path(spark, "raw")
+        spark.createDataFrame([tuple(e[f.name] for f in schemas.EVENTS.fields) for e in plain], schemas.EVENTS).write.parquet(path)
+        return spark.read.schema(schemas.EVENTS).parquet(path)
+
+    rates = bundled_currency_rates(spark)
+    first = [("a", day, "1.0", 7, "one", "€"), ("b", 40 * day, "2.0", 7, "one", "£"), ("n", day, "x", 9, "one", "€"),
+             ("c", 41 * day, "3.0", 8, "one", "€"), ("t", None, "4.0", 8, "one", "€")]
+    # Of the later ones, one repeats an old line, one an old line without order, one precedes a line of
+    # the window, and one arrives too late.
+    later = [("d", 42 * day, "1.0", 7, "two", "$"), ("m", 42 * day, "x", 9, "two", "€"), ("e", 41 * day - 5, "3.0", 8, "two", "€"),
+             ("f", 43 * day, "5.0", 8, "two", "€"), ("g", 2 * day, "6.0", 8, "two", "€")]
+    staged = StagedDays.below(spark, fresh_path(spark, "staged"))
+    staged.load(events(first), rates)
+    since = datetime.date(1970, 2, 10)  # day 40
+    everything = events(first + later)
+    plan = since_day(everything, since)._jdf.queryExecution().toString()
+    assert f"GreaterThanOrEqual(time_stamp,{40 * day})" in plan
+    staged.load(everything, rates, since)
+    staged.load(everything, rates, since)  # the same window again changes nothing
+    lines = {r["source_event_id"] for r in staged.cart().collect()}
+    assert lines == {"a", "n", "b", "e", "f"}
+    visits = {(r["host"], r["cnt"]) for r in staged.visits.read().groupBy("host").sum("cnt").toDF("host", "cnt").collect()}
+    assert visits == {("one", 5), ("two", 4)}
+    assert {r["currency_symbol"] for r in staged.currency(rates).collect()} == {"€", "£", "$"}
+    old = {f for f in staged.cart().inputFiles() if "order_date=1970-01-02" in f}
+    assert old and old <= set(staged.lines.read(1).inputFiles())  # the old day was not written again
