@@ -14,7 +14,7 @@ from basketry.session import cut_lineage, fresh_path
 from basketry.sinks import writers
 from basketry.sinks.merge import merge_by_key
 from basketry.sources import readers, schemas
-from basketry.streaming import dedupe, ingest
+from basketry.streaming import dedupe, earliest, ingest
 
 DECIMALS = ["product_base_price", "product_min_price", "product_max_price", "rate_to_usd",
             "sales_local_price", "sales_usd_price"]
@@ -413,6 +413,27 @@ def _(i):
     return i.spark.read.parquet(target).select("order_id", "product_id")
 
 
+@case("stm3_stream_earliest", query(_CART.rstrip() + " WHERE time_stamp IS NOT NULL"))
+def _(i):
+    # Files hold the events in scrambled order and micro-batches take some at a time; the rows are those
+    # of the batch model.  A last event far ahead moves the watermark past all others.
+    source, target, log = (fresh_path(i.spark, n) for n in ("arrivals", "lines", "stream"))
+    i.checkouts.repartition(3, "_id").write.parquet(source)
+    _stream_earliest(i, source, target, log)
+    i.checkouts.limit(1).withColumn("time_stamp", F.lit(4_102_444_800).cast("bigint")).withColumn(
+        "_id", F.lit("last")).write.mode("append").parquet(source)
+    _stream_earliest(i, source, target, log)
+    lines = i.spark.read.parquet(target)
+    return lines.where(~F.col("late")).drop("late", "event_timestamp")
+
+
+def _stream_earliest(i, source, target, log):
+    arriving = i.spark.readStream.schema(schemas.EVENTS).option("maxFilesPerTrigger", 2).parquet(source)
+    stream = earliest.earliest_cart_lines(arriving, i.rates, delay="4000 days")
+    (stream.writeStream.format("parquet").option("path", target).option("checkpointLocation", log)
+        .trigger(availableNow=True).start().awaitTermination())
+
+
 # ---- reports -----------------------------------------------------------------------------
 
 _MEASURES = f"count(*) AS line_count, CAST(sum(sales_amount) AS BIGINT) AS units, {cents('total_revenue_usd')} AS revenue_usd"

@@ -52,9 +52,8 @@ def with_currency_code(lines: DataFrame, currency: DataFrame) -> DataFrame:
     )
 
 
-def checkout_cart_items(events: DataFrame, currency_rates: DataFrame) -> DataFrame:
-    """Distinct (order, product) lines of successful checkouts; of repeated tracking events
-    the earliest stays."""
+def typed_lines(events: DataFrame, currency_rates: DataFrame) -> DataFrame:
+    """All lines of successful checkouts, typed and with their currency's code."""
     typed = cart_lines(events).select(
         "source_event_id",
         F.col("item_index").cast("bigint").alias("item_index"),
@@ -70,9 +69,14 @@ def checkout_cart_items(events: DataFrame, currency_rates: DataFrame) -> DataFra
         parse_price("item_price").alias("unit_price"),
         F.nullif(F.col("item_currency"), F.lit("")).alias("currency_symbol"),
     )
-    priced = with_currency_code(typed, currency_rates)
+    return with_currency_code(typed, currency_rates)
+
+
+def checkout_cart_items(events: DataFrame, currency_rates: DataFrame) -> DataFrame:
+    """Distinct (order, product) lines of successful checkouts; of repeated tracking events
+    the earliest stays."""
     return first_per_key(
-        priced, ["order_id", "product_id"],
+        typed_lines(events, currency_rates), ["order_id", "product_id"],
         [F.asc("event_timestamp"), F.asc("source_event_id"), F.asc("item_index")],
     )
 

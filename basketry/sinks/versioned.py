@@ -11,11 +11,14 @@ A commit has one entry for each partition, so it grows with the days of a table,
 
 from __future__ import annotations
 
+import contextlib
 import json
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from basketry.operators.quality import schema_differences
@@ -46,9 +49,9 @@ class VersionedTable:
         jvm = spark.sparkContext._jvm
         self._path = jvm.org.apache.hadoop.fs.Path
         conf = spark.sparkContext._jsc.hadoopConfiguration()
-        uri = self._path(self.root).toUri()
         self._files = self._path(self.root).getFileSystem(conf)
-        self._context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._files.makeQualified(self._path(self.root)).toUri() or uri, conf)
+        place = self._files.makeQualified(self._path(self.root)).toUri()
+        self._context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(place, conf)
         self._rename = jvm.org.apache.hadoop.fs.Options.Rename
 
     # ---- commits ----
@@ -115,7 +118,19 @@ class VersionedTable:
         plain = [f for f in found.schema if f.name != self.partition]
         kinds = [T.StructField(VERSION, T.StringType()), found.schema[self.partition]]
         read = self.spark.read.schema(T.StructType([*plain, *kinds])).option("basePath", f"{self.root}/data")
-        return read.parquet(*[f"{self.root}/data/{found.folders[v]}" for v in values]).select(*names)
+        with self._listing_in_few_tasks():
+            return read.parquet(*[f"{self.root}/data/{found.folders[v]}" for v in values]).select(*names)
+
+    @contextlib.contextmanager
+    def _listing_in_few_tasks(self) -> Iterator[None]:
+        """Folders are listed by a job, by default with a task for each; some per core do."""
+        name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+        before = self.spark.conf.get(name)
+        self.spark.conf.set(name, str(4 * self.spark.sparkContext.defaultParallelism))
+        try:
+            yield
+        finally:
+            self.spark.conf.set(name, before)
 
     # ---- writing ----
 
@@ -148,7 +163,7 @@ class VersionedTable:
         self._same_columns(df, base)
         values = self._values(base, condition)
         made = self._write(df.select(*[f.name for f in base.schema]))
-        strangers = [v for v in made if v not in self._values(base, condition, list(made))]
+        strangers = sorted(set(made) - self._values(base, condition, list(made)), key=str)
         if strangers:
             raise ValueError(f"rows outside the partitions to replace: {self.partition} {strangers[:3]}")
         kept = {v: folder for v, folder in base.folders.items() if v not in values}
@@ -158,7 +173,7 @@ class VersionedTable:
         """Those of the partition values for which a condition on the partition column holds."""
         values = list(base.folders) if values is None else values
         kind = base.schema[self.partition].dataType
-        listed = self.spark.createDataFrame([(v,) for v in values], "__text string")
+        listed = self.spark.createDataFrame(pa.table({"__text": pa.array(values, pa.string())}))
         return {r[0] for r in listed.withColumn(self.partition, F.col("__text").cast(kind)).where(condition).select("__text").collect()}
 
     def _same_columns(self, df: DataFrame, base: Snapshot) -> None:
