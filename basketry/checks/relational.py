@@ -252,6 +252,19 @@ def _(i):
     return lookup.first_source_wins(keys("product_id", "direct"), keys("viewing_product_id", "viewed"), "k")
 
 
+@case("jon10_set4_best_source", query("""
+SELECT k, arg_min(source, rank) AS source, arg_min(seen, rank) AS seen FROM (
+  SELECT product_id AS k, 'direct' AS source, min(time_stamp) AS seen, 1 AS rank FROM browse WHERE product_id <> '' GROUP BY ALL
+  UNION ALL SELECT viewing_product_id, 'viewed', min(time_stamp), 2 FROM browse WHERE viewing_product_id <> '' GROUP BY ALL)
+GROUP BY k"""))
+def _(i):
+    def keys(column, source):
+        return i.events.where(is_filled(column)).select(
+            F.col(column).alias("k"), F.lit(source).alias("source"), F.col("time_stamp").alias("seen"))
+
+    return lookup.best_source([keys("product_id", "direct"), keys("viewing_product_id", "viewed")], "k")
+
+
 @case("jon11_udf5_ip_range", query("""
 SELECT DISTINCT ip, trim(raw_code) AS country_code, raw_country AS country_name, trim(raw_region) AS region_name,
        CASE WHEN n = 7 AND CAST(split_part(ip, '.', 3) AS INTEGER) >= 128 THEN 'second half' ELSE raw_city END AS city_name

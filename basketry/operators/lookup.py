@@ -6,6 +6,8 @@ other join is shuffled, and AQE splits the partitions a hot key makes too large.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -40,6 +42,20 @@ def first_source_wins(preferred: DataFrame, fallback: DataFrame, key: str) -> Da
     return preferred.unionByName(fallback.join(preferred.select(key), key, "left_anti"))
 
 
+def best_source(sources: list[DataFrame], key: str) -> DataFrame:
+    """One row per key, from the first of the sources that knows it.
+
+    Every source is read once and rows are combined map-side before the one shuffle, so a
+    source may repeat keys; of rows of one source the least by its other columns counts.  A
+    null key is a key like any other.
+    """
+    columns = sources[0].columns
+    others = [c for c in columns if c != key]
+    ranked = [df.select(*columns, F.lit(n).alias("__rank")) for n, df in enumerate(sources)]
+    best = reduce(DataFrame.unionAll, ranked).groupBy(key).agg(F.min(F.struct("__rank", *others)).alias("__best"))
+    return best.select(*[F.col(c) if c == key else F.col(f"__best.{c}").alias(c) for c in columns])
+
+
 def every_pair(rows: DataFrame, items: DataFrame) -> DataFrame:
     """Each row with each item of a short list.
 

@@ -322,3 +322,13 @@ def test_first_n_per_key(spark):
     frame = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
     assert rows(pick.first_n_per_key(frame, ["k"], [F.asc("id")], 2)) == [
         (0, 0), (0, 3), (1, 1), (1, 4), (2, 2), (2, 5)]
+
+
+def test_best_source_reads_each_side_once(spark):
+    from basketry.operators import lookup
+
+    a = spark.createDataFrame([(1, "a", 5), (1, "a", 3), (None, "a", 1)], "k int, s string, n int")
+    b = spark.createDataFrame([(1, "b", 0), (2, "b", 9), (2, "b", None), (None, "b", 0)], "k int, s string, n int")
+    made = {tuple(r) for r in lookup.best_source([a, b], "k").collect()}
+    assert made == {(1, "a", 3), (2, "b", None), (None, "a", 1)}
+    assert lookup.best_source([a.limit(0), b.limit(0)], "k").collect() == []
