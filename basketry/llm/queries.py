@@ -89,7 +89,9 @@ def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
                  F.lit("</s>[INST] ok [/INST]").alias("text")) for k, role in enumerate(("user", "assistant"))])))
     made = chat.format_conversations(rows.unionByName(planted))
     turns = F.transform("parsed", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    loss = F.transform(F.filter("parsed", lambda t: t["role"] == "assistant"), lambda t: t["text"])
+    # What the loss mask covers is cut out of the output itself, not taken from the parsed turns.
+    loss = F.transform("loss_spans", lambda s: chat.unescape(
+        F.col("formatted").substr((s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int"))))
     joined = made.select("conv_id", "formatted", "round_trip", F.size("parsed").cast("long").alias("n_turns"),
                          F.array_join(turns, "").alias("turns"), F.array_join(loss, "").alias("loss"))
     return joined.select(
