@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import datetime
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from basketry.operators import quality
 from basketry.operators.quality import enforce_contract
-from basketry.plans import dims, facts, mart, staging
+from basketry.plans import declared, dims, facts, mart, staging
 from basketry.plans.staged import StagedDays
 from basketry.session import cut_lineage
 from basketry.sinks.versioned import VersionedTable
@@ -118,76 +118,20 @@ def build(spark: SparkSession, events: DataFrame, ip_locations: DataFrame, raw_p
 
 def quality_report(models: Registry, currency_rates: DataFrame,
                    fact_rows: tuple[int, int] = FACT_ROWS) -> DataFrame:
-    """(check, failures) of all data tests of the warehouse; ``fact_rows`` bounds the sales fact.
+    """(check, failures) of all declared tests of the warehouse; ``fact_rows`` bounds the sales fact."""
+    return declared.measure(_tests(fact_rows), _tested(models, currency_rates))
 
-    Conditions on single rows share one pass per table; keys, references and counts
-    take one each.
-    """
-    q = quality
-    not_null = {
-        "seed": ["currency_symbol", "currency_code", "rate_to_usd"],
-        CART: ["order_id", "product_id", "event_timestamp"],
-        "stg_products": ["product_id"], "stg_store": ["store_id"],
-        "stg_currency": ["currency_code"], "stg_location": ["ip_address"],
-        "dim_date": ["date_key", "full_date"],
-        "dim_customer": ["customer_key", "customer_user_id_db"],
-        "dim_product": ["product_key"], "dim_location": ["location_key"],
-        "dim_currency": ["currency_key", "currency_code"],
-        "dim_store": ["store_key", "store_id", "store_domain"],
-        RATES: ["exchange_rate_key", "date_key", "currency_key", "rate_to_usd"],
-        FACT: ["detail_key", "customer_key", "product_key", "location_key", "currency_key",
-               "store_key", "date_key", "sales_amount", "sales_local_price", "sales_usd_price"],
-        FLAT: ["detail_key"],
-    }
-    unique = {
-        "seed": "currency_symbol", "stg_products": "product_id", "stg_store": "store_id",
-        "dim_date": "date_key", "dim_customer": "customer_key", "dim_product": "product_key",
-        "dim_location": "location_key", "dim_currency": "currency_key", "dim_store": "store_key",
-        RATES: "exchange_rate_key", FACT: "detail_key",
-        FLAT: "detail_key",
-    }
-    parents = {
-        RATES: {"date_key": "dim_date", "currency_key": "dim_currency"},
-        FACT: {"customer_key": "dim_customer", "location_key": "dim_location",
-               "currency_key": "dim_currency", "store_key": "dim_store", "date_key": "dim_date"},
-    }
-    bounds = {
-        "dim_date": {"day_of_week": (1, 7), "month_number": (1, 12), "quarter_number": (1, 4)},
-        "dim_product": {c: (0, None) for c in
-                        ("product_base_price", "product_min_price", "product_max_price")},
-        RATES: {"rate_to_usd": (0, None)},
-        FACT: {c: (0, None) for c in ("sales_amount", "sales_local_price", "sales_usd_price")},
-        FLAT: {"total_revenue_usd": (0, None)},
-    }
-    t = {m: models[m] for m in [*STAGING_MODELS, *DIMENSIONS, RATES, FACT, FLAT]}
-    t["seed"] = currency_rates
-    genders = ["Female", "Male", "Kids", "Unknown"]
-    conditions: dict[str, dict] = {m: {} for m in t}
-    for m, columns in not_null.items():
-        conditions[m] |= {f"{m}.{c} not null": q.is_missing(c) for c in columns}
-    for m, columns in bounds.items():
-        conditions[m] |= {f"{m}.{c} between": q.is_outside(c, *b) for c, b in columns.items()}
-    conditions["seed"]["seed.rate_to_usd above 0"] = q.is_outside("rate_to_usd", 0, strictly=True)
-    for m in ("stg_products", "dim_product"):
-        conditions[m][f"{m}.product_gender accepted"] = q.is_unexpected("product_gender", genders)
-    conditions["dim_customer"]["dim_customer.customer_email_address hashed"] = (
-        (F.col("customer_key") != -1) & q.is_unlike("customer_email_address", r"^[a-f0-9]{64}$"))
-    conditions["dim_location"]["dim_location.location_country_code length"] = (
-        (F.col("location_key") != -1) & q.has_other_length("location_country_code", 2))
-    conditions["dim_currency"]["dim_currency.currency_code length"] = q.has_other_length("currency_code", 3)
-
-    checks = {f"{m}.{c} unique": q.unique(t[m], c) for m, c in unique.items()}
-    checks |= {
-        f"{m}.{c} in {p}": q.relationship(t[m], c, t[p], c)
-        for m, cs in parents.items() for c, p in cs.items()
-    }
-    checks |= {
-        "dim_location place unique": q.duplicate_keys(
-            t["dim_location"],
-            ["location_country_name", "location_region_name", "location_city_name"]),
-        "fact row count": q.row_count_between(t[FACT], *fact_rows),
-        "no duplicate order and product": q.duplicate_keys(t[CART], ["order_id", "product_id"]),
-        "mart has the rows of the fact": q.same_row_count(t[FACT], t[FLAT], "fact_count", "mart_count"),
-    }
-    per_table = [q.count_broken(t[m], c) for m, c in conditions.items() if c]
-    return q.one_report(per_table + q.count_rows(checks))
+
+def declared_report(spark: SparkSession, models: Registry, currency_rates: DataFrame,
+                    fact_rows: tuple[int, int] = FACT_ROWS) -> DataFrame:
+    """Every declared test with its failures and outcome, those included that were not run."""
+    tests = _tests(fact_rows)
+    return declared.with_outcome(spark, tests, declared.measure(tests, _tested(models, currency_rates)))
+
+
+def _tests(fact_rows: tuple[int, int]) -> list[declared.Declared]:
+    return [replace(t, low=fact_rows[0], high=fact_rows[1]) if t.kind == "row count" else t for t in declared.catalogue()]
+
+
+def _tested(models: Registry, currency_rates: DataFrame) -> dict[str, DataFrame]:
+    return {m: models[m] for m in [*STAGING_MODELS, *DIMENSIONS, RATES, FACT, FLAT]} | {"seed": currency_rates}
