@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from basketry.functions import numbers
 from basketry.operators import discovery, iprange, lookup, pick, profile, quality
 from basketry.operators import pages as pages_operator
-from basketry.plans import catalog, facts, staging
+from basketry.plans import catalog, declared, facts, staging
 from basketry.session import cut_lineage, fresh_path, shared_root
 from basketry.sinks import merge, writers
 from basketry.sources import readers, schemas
@@ -233,12 +233,28 @@ def test_report_is_never_cut(spark):
     assert len(writers.markdown_table(spark.range(5), limit=5).splitlines()) == 7
 
 
-def test_document_paths():
-    walk = discovery.path_walker()
+def test_document_paths(spark):
     document = {"a": [{"b": 1}, {"c": 2}], "d": None, "e": True, "f": [], "g": [[1]], "h": {"i": 1.5}}
-    assert list(walk(document)) == [
+    texts = [("x", json.dumps(document)), ("y", '{"a": "tail"'), ("y", None), ("z", "[[1], 2]"), ("z", '{"q \\" [[{": {}}'), ("z", "7"),
+             ("y", '{"a": 1, "a": 2}')]
+    frame = spark.createDataFrame(texts, "k string, doc string")
+    assert discovery.nesting_depth(frame.where("k <> 'y'"), "doc") == 3
+    got = sorted(rows(discovery.document_paths(frame, "k", "doc")))
+    assert got == sorted([("x", *pair) for pair in [
         ("a", "array"), ("a[]", "object"), ("a[].b", "int"), ("d", "null"), ("e", "bool"), ("f", "array"),
-        ("g", "array"), ("g[]", "array"), ("h", "object"), ("h.i", "float")]
+        ("g", "array"), ("g[]", "array"), ("h", "object"), ("h.i", "float")]] + [("z", "[]", "array"), ("z", 'q " [[{', "object")])
+    assert rows(discovery.broken_documents(frame, "doc")) == [texts[1], texts[6]]
+    assert discovery.document_paths(frame.limit(0), "k", "doc").count() == 0
+
+
+def test_declared_tests_that_were_not_run_show(spark):
+    tests = [t for t in declared.catalogue() if t.model in ("seed", "dim_store")]
+    seed = spark.createDataFrame([("a", "EUR", 1.0), ("a", None, 0.0)], "currency_symbol string, currency_code string, rate_to_usd double")
+    found = {r["check"]: (r["failures"], r["outcome"]) for r in declared.with_outcome(
+        spark, tests, declared.measure(tests, {"seed": seed})).collect()}
+    assert len(found) == len(tests) == 9 and found["dim_store.store_key unique"] == (None, "not run")
+    assert found["seed.currency_symbol unique"] == (1, "failed") and found["seed.currency_code not null"] == (1, "failed")
+    assert found["seed.rate_to_usd above 0"] == (1, "failed") and found["seed.currency_symbol not null"] == (0, "ok")
 
 
 def test_attempts_put_the_own_domain_first(spark):
