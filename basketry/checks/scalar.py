@@ -344,12 +344,14 @@ def _(i):
 
 @case("cmp9_udf3_embedded_json", query("""
 SELECT page_id, CASE WHEN v = 4 THEN '{}' WHEN has_data THEN json_extract_string(data, '$.sku') END AS sku,
-       CASE WHEN has_data THEN json_extract_string(data, '$.name') END AS name FROM stored"""))
+       CASE WHEN has_data THEN json_extract_string(data, '$.name') END AS name,
+       CASE WHEN has_data THEN CAST(page_id * 1.5::DOUBLE AS VARCHAR) END AS price FROM stored"""))
 def _(i):
     found = pages.embedded_json("html")
     rows = i.product_pages.select("page_id", jsontext.once(found).alias("json"))
-    sku = F.when(F.col("json") == "{}", "{}").otherwise(F.get_json_object("json", "$.sku"))
-    return rows.select("page_id", sku.alias("sku"), F.get_json_object("json", "$.name").alias("name"))
+    parsed = jsontext.fields("json", ["sku", "name", "price"])
+    sku = F.when(F.col("json") == "{}", "{}").otherwise(parsed["sku"])
+    return rows.select("page_id", sku.alias("sku"), parsed["name"].alias("name"), parsed["price"].alias("price"))
 
 
 _RECORD = query("""

@@ -15,6 +15,8 @@ NO_DATA, NO_NAME, OK = "react_data_not_found", "no_product_name_found", "ok"
 # Columns that do not come straight from a field of the same name.
 _DERIVED = {"product_id", "source_url", "domain_used", "gender", "massiv"}
 _PLAIN = [c for c in PRODUCT_COLUMNS if c not in _DERIVED]
+_STRICT = {"columnNameOfCorruptRecord": "_broken", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+_ATTRIBUTES = "gender struct<value: string>, massiv struct<value: string>"
 _EMBEDDED = (
     "product_id string, "
     + ", ".join(f"{c} string" for c in _PLAIN)
@@ -35,9 +37,13 @@ def embedded_json(html: Column | str, marker: str = MARKER) -> Column:
     """The object assigned to the marker as JSON text; null if absent, cut off or malformed.
 
     A JSON parser stops at the brace that closes the object it started with, braces in
-    strings and escaped quotes included, so the rest of the page needs no trimming.
+    strings and escaped quotes included, so the rest of the page needs no trimming.  Numbers
+    keep a fraction of zero, and a key that occurs twice stays so; ``jsontext.fields`` reads the
+    last one.
     """
-    return F.to_json(F.try_parse_json(embedded_tail(html, marker)))
+    tail = embedded_tail(html, marker)
+    strict = F.from_json(tail, "_broken string", _STRICT)["_broken"].isNull()
+    return F.when(strict, F.get_json_object(tail, "$"))
 
 
 def with_product_data(stored: DataFrame, name: str = "data") -> DataFrame:
@@ -46,17 +52,19 @@ def with_product_data(stored: DataFrame, name: str = "data") -> DataFrame:
     Cut and parsed once a page, however many of the fields are used.
     """
     tailed = stored.select("*", once(embedded_tail("html")).alias("__tail"))
-    options = {"columnNameOfCorruptRecord": "_broken", "allowSingleQuotes": "false"}
-    parsed = tailed.select("*", once(F.from_json("__tail", _EMBEDDED, options)).alias("__parsed"))
+    parsed = tailed.select("*", once(F.from_json("__tail", _EMBEDDED, _STRICT)).alias("__parsed"))
     usable = F.col("__parsed._broken").isNull() & ~F.col("__tail").rlike(r"^\{\s*\}")
     return parsed.withColumn(name, F.when(usable, F.col("__parsed"))).drop("__tail", "__parsed")
 
 
 def product_record(data: Column, product_id: Column | str, url: Column, domain: Column | str) -> list[Column]:
-    """The 21 product columns from ``with_product_data``; a missing id falls back to the input."""
+    """The 21 product columns from ``with_product_data``; a missing id falls back to the input.
+
+    Of a key that occurs twice in one object the last counts.
+    """
     def attribute(name: str) -> Column:
         # Shops write an empty map as [], false or an empty text; none of them has values.
-        return F.get_json_object(data["attributes"], f"$.{name}.value")
+        return F.from_json(data["attributes"], _ATTRIBUTES)[name]["value"]
 
     derived = {
         "product_id": F.coalesce(data["product_id"], as_column(product_id)),

@@ -134,7 +134,15 @@ def test_embedded_json(values):
         lead + '{"a":{"b":"}\\"{"},"c":[1,{"d":2}]}; var y = {"q":1};</script>',
         lead + ' \n {"a":1}</script>',
         lead + '{"a":{"b":1}', lead + "{'a':1};", lead + '{"a":1,};', "<p>{}</p>", lead + "null", None,
-    ]) == ['{"a":{"b":"}\\"{"},"c":[1,{"d":2}]}', '{"a":1}', None, None, None, None, None, None]
+        lead + '{"a":1,"a":12.0};', lead + '{"a":NaN};',
+    ]) == ['{"a":{"b":"}\\"{"},"c":[1,{"d":2}]}', '{"a":1}', None, None, None, None, None, None, '{"a":1,"a":12.0}', None]
+
+
+def test_last_of_repeated_keys_counts(spark):
+    page = 'var react_data = {"name":"x","price":1,"price":12.0,"attributes":{"gender":{"value":"a"},"gender":{"value":"b"}}};'
+    frame = pages.with_product_data(spark.createDataFrame([(page,)], "html string"))
+    record = frame.select(*pages.product_record(F.col("data"), F.lit("7"), F.lit("u"), F.lit("d"))).first()
+    assert (record["price"], record["gender"], record["product_id"]) == ("12.0", "b", "7")
 
 
 def test_ipv4(values):
