@@ -261,8 +261,8 @@ class Inputs:
             F.when(x("page_id % 5 = 0"), "kids").when(x("page_id % 5 = 1"), "").alias("gender"),
         ))
         # Keys that occur twice: the last one counts.
-        product = F.concat(F.when(x("page_id % 8 <> 3"), '{"name":"old",').otherwise("{"), F.lit('"sku":"old",'), F.replace(
-            F.substr(product, F.lit(2)), F.lit('"attributes":{'), F.lit('"attributes":{"gender":{"value":"old"},')))
+        earlier = F.when(x("page_id % 8 <> 3"), '{"name":"old",').otherwise("{")
+        product = F.concat(earlier, F.lit('"sku":"old","attributes":{"gender":{"value":"old"}},'), F.substr(product, F.lit(2)))
         script = x("page_id % 8")
         embedded = (
             F.when(script == 0, F.lit(""))

@@ -16,7 +16,6 @@ NO_DATA, NO_NAME, OK = "react_data_not_found", "no_product_name_found", "ok"
 _DERIVED = {"product_id", "source_url", "domain_used", "gender", "massiv"}
 _PLAIN = [c for c in PRODUCT_COLUMNS if c not in _DERIVED]
 _STRICT = {"columnNameOfCorruptRecord": "_broken", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
-_ATTRIBUTES = "gender struct<value: string>, massiv struct<value: string>"
 _EMBEDDED = (
     "product_id string, "
     + ", ".join(f"{c} string" for c in _PLAIN)
@@ -60,11 +59,12 @@ def with_product_data(stored: DataFrame, name: str = "data") -> DataFrame:
 def product_record(data: Column, product_id: Column | str, url: Column, domain: Column | str) -> list[Column]:
     """The 21 product columns from ``with_product_data``; a missing id falls back to the input.
 
-    Of a key that occurs twice in one object the last counts.
+    Of a key that occurs twice the last counts, but inside the attributes the first: they stay
+    text, as a second parse would cost more than a lookup.
     """
     def attribute(name: str) -> Column:
         # Shops write an empty map as [], false or an empty text; none of them has values.
-        return F.from_json(data["attributes"], _ATTRIBUTES)[name]["value"]
+        return F.get_json_object(data["attributes"], f"$.{name}.value")
 
     derived = {
         "product_id": F.coalesce(data["product_id"], as_column(product_id)),

@@ -139,7 +139,7 @@ def test_embedded_json(values):
 
 
 def test_last_of_repeated_keys_counts(spark):
-    page = 'var react_data = {"name":"x","price":1,"price":12.0,"attributes":{"gender":{"value":"a"},"gender":{"value":"b"}}};'
+    page = 'var react_data = {"name":"x","price":1,"price":12.0,"attributes":{"gender":{"value":"a"}},"attributes":{"gender":{"value":"b"}}};'
     frame = pages.with_product_data(spark.createDataFrame([(page,)], "html string"))
     record = frame.select(*pages.product_record(F.col("data"), F.lit("7"), F.lit("u"), F.lit("d"))).first()
     assert (record["price"], record["gender"], record["product_id"]) == ("12.0", "b", "7")
