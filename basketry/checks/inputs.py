@@ -13,7 +13,7 @@ from weakref import WeakKeyDictionary
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from basketry.functions.dates import epoch_seconds
-from basketry.plans import staging, warehouse
+from basketry.plans import catalog, staging, warehouse
 from basketry.sources import schemas
 from basketry.sources.readers import Registry, bundled_currency_rates, bundled_rate_rows
 
@@ -287,6 +287,23 @@ class Inputs:
             F.expr("cast(page_id % 200 as string)").alias("product_id"), "url", "page_id"
         )
 
+    @cached_property
+    def crawl_plan(self) -> DataFrame:
+        """Domain plan of products that have five of the stored pages each."""
+        urls = self.product_pages.select(
+            F.expr("cast(page_id div 5 as string)").alias("product_id"),
+            F.concat(F.lit("https://"), "domain", F.lit("/p/"), "page_id").alias("url"), "page_id")
+        return catalog.domain_plan(urls, ["page_id"])
+
+    def crawled(self, plan: DataFrame) -> DataFrame:
+        """(product_id, domain, html, page_id): a page for most of the planned attempts."""
+        x = F.expr
+        found = self.product_pages.where("page_id % 9 <> 4").select(
+            x("cast(page_id div 5 as string)").alias("product_id"),
+            x("cast((page_id + page_id div 5) % 5 as int)").alias("place"), "html", "page_id")
+        return found.join(plan.select("product_id", "attempts"), "product_id").select(
+            "product_id", F.get("attempts", F.col("place")).alias("domain"), "html", "page_id")
+
     @cached_property
     def documents(self) -> DataFrame:
         """(event_id, collection, document): events as JSON documents with nested fields."""

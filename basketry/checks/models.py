@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from basketry.checks.oracle import cents, query
 from basketry.checks.registry import case
 from basketry.operators import discovery, iprange, profile, quality
 from basketry.plans import catalog, dims, enrichment, facts, mart, reports, warehouse
+from basketry.plans.ledger import AttemptLedger
 from basketry.session import cut_lineage, fresh_path
 from basketry.sinks import writers
 from basketry.sinks.merge import merge_by_key
@@ -189,6 +190,44 @@ def _(i):
     return failures
 
 
+def _worked(i) -> tuple[AttemptLedger, DataFrame]:
+    """A ledger after a run that stopped, one that went on with more pages, and one with nothing left to do."""
+    plan = cut_lineage(i.crawl_plan, "crawl-plan")
+    stored = i.crawled(plan)
+    book = AttemptLedger(i.spark, fresh_path(i.spark, "ledger"))
+    book.work(plan, stored.where("page_id % 3 > 0"), order=["page_id"], rounds=2)
+    book.work(plan, stored, order=["page_id"])
+    assert not book.work(plan, stored, order=["page_id"])
+    return book, plan
+
+
+@case("stm4_attempt_ledger", query("""
+SELECT CAST(q AS VARCHAR) AS product_id, CAST(1 AS INTEGER) AS pass, CAST(attempt AS INTEGER) AS attempt, domain, status
+FROM crawl_attempt"""))
+def _(i):
+    book, _ = _worked(i)
+    return book.rows().select("product_id", "pass", "attempt", "domain", "status")
+
+
+@case("stm4_snk12_ledger_results", query("""
+SELECT 'product' AS kind, CAST(q AS VARCHAR) AS product_id, domain AS domains, 'Ring {"' || page_id || '\\"} x' AS what
+FROM crawl_attempt WHERE status = 'ok'
+UNION ALL
+SELECT 'failure', CAST(q AS VARCHAR), string_agg(domain, ';' ORDER BY attempt), arg_max(status, attempt)
+FROM crawl_attempt GROUP BY q HAVING count(*) = 5 AND count(CASE WHEN status = 'ok' THEN 1 END) = 0
+UNION ALL
+SELECT 'open', CAST(q AS VARCHAR), crawl_domain.domain, NULL
+FROM crawl_domain LEFT JOIN (SELECT q, count(*) AS n, bool_or(status = 'ok') AS done FROM crawl_attempt GROUP BY q) USING (q)
+WHERE NOT coalesce(done, false) AND attempt = coalesce(n, 0)"""))
+def _(i):
+    book, plan = _worked(i)
+    found = book.rows().where("product is not null").select(
+        F.lit("product").alias("kind"), "product_id", F.col("product.domain_used").alias("domains"), F.col("product.name").alias("what"))
+    failed = book.failures(plan).select(F.lit("failure"), "product_id", "domains_tried", "last_error")
+    still = book.waiting(plan).select(F.lit("open"), "product_id", "domain", F.lit(None).cast("string"))
+    return found.unionAll(failed).unionAll(still)
+
+
 @case("mod20_domain_plan", query("""
 SELECT own.product_id, own.domain, CAST(1 + least(4, count(*)) AS INTEGER) AS attempts
 FROM (SELECT product_id, arg_max(domain, page_id) AS domain FROM urls GROUP BY product_id) own,

@@ -235,6 +235,24 @@ FROM (SELECT *, '{' || CASE WHEN page_id % 3 > 0 THEN '"product_id":' || (1000 +
          || '"},"massiv":{"value":"' || (page_id % 4) || '"}}'
          || CASE page_id % 5 WHEN 0 THEN ',"gender":"kids"' WHEN 1 THEN ',"gender":""' ELSE '' END || '}' AS data
       FROM pages))""",
+    # five stored pages a product, each on one of its planned domains; attempts up to the first
+    # that goes well or whose page is missing
+    "crawl_top": """
+SELECT domain, row_number() OVER (ORDER BY count(*) DESC, domain) AS pos FROM stored GROUP BY domain QUALIFY pos <= 20""",
+    "crawl_domain": """
+SELECT q, 0 AS attempt, domain FROM (SELECT page_id // 5 AS q, arg_max(domain, page_id) AS domain FROM stored GROUP BY q)
+UNION ALL
+SELECT q, row_number() OVER (PARTITION BY q ORDER BY pos) AS attempt, crawl_top.domain
+FROM (SELECT page_id // 5 AS q, arg_max(domain, page_id) AS own FROM stored GROUP BY q) JOIN crawl_top ON crawl_top.domain <> own
+QUALIFY attempt <= 4""",
+    "crawl_attempt": """
+SELECT q, attempt, domain, status, page_id FROM (
+  SELECT *, count(*) OVER (PARTITION BY q ORDER BY attempt) = attempt + 1 AS gapless,
+         coalesce(sum(CASE WHEN status = 'ok' THEN 1 END) OVER (
+           PARTITION BY q ORDER BY attempt ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) = 0 AS needed
+  FROM (SELECT page_id // 5 AS q, (page_id + page_id // 5) % 5 AS attempt, status, page_id FROM stored WHERE page_id % 9 <> 4)
+  JOIN crawl_domain USING (q, attempt))
+WHERE gapless AND needed""",
 }
 
 

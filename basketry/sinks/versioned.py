@@ -152,6 +152,24 @@ class VersionedTable:
         """Replace the whole table; returns the commit."""
         return self._commit(self.snapshot(), df.schema, self._write(df))
 
+    def append(self, df: DataFrame, base: Snapshot | None) -> int | None:
+        """Add partitions that ``base`` does not have, as the commit after it; None without rows.
+
+        Whoever decided on the rows by reading ``base`` learns by `ConcurrentCommit` that it is
+        no longer the table.
+        """
+        if base is not None:
+            self._same_columns(df, base)
+            df = df.select(*[f.name for f in base.schema])
+        made = self._write(df)
+        if not made:
+            return None
+        known = {} if base is None else base.folders
+        taken = sorted(set(made) & set(known), key=str)
+        if taken:
+            raise ValueError(f"partitions that are there already: {self.partition} {taken[:3]}")
+        return self._commit(base, df.schema if base is None else base.schema, known | made)
+
     def replace_where(self, df: DataFrame, condition: Column) -> int:
         """Replace the partitions for whose value the condition holds by the rows of df.
 
