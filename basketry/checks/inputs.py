@@ -142,6 +142,34 @@ class Inputs:
                 .otherwise(F.concat(key, F.lit(".0"))),
         })
 
+    @cached_property
+    def order_carts(self) -> DataFrame:
+        """A checkout event per order, tracked twice for those divisible by 17, with all its items.
+
+        A product may occur in several items.  Orders have few line items in these tables.
+        """
+        x = F.expr
+        line = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+        carts = self.table("lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(line)).alias("lines"))
+        symbols = F.array(*[F.lit(r[0]) for r in bundled_rate_rows()], F.lit(UNMAPPED_SYMBOL), F.lit(None))
+        items = F.transform("lines", lambda one: F.struct(
+            (one["l_partkey"] % 40).alias("product_id"),
+            one["l_quantity"].cast("int").alias("amount"),
+            F.format_number(one["l_extendedprice"], 2).alias("price"),
+            F.get(symbols, (one["l_suppkey"] % F.size(symbols)).cast("int")).alias("currency"),
+        ))
+        orders = self.table("orders").select("o_orderkey", "o_orderdate")
+        df = carts.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).withColumn(
+            "copy", x("explode(if(l_orderkey % 17 = 0, array(0, 1), array(0)))"))
+        text = F.col("l_orderkey").cast("string")
+        return _events(df, {
+            "_id": F.concat_ws("-", F.lit("c"), "l_orderkey", "copy"),
+            "time_stamp": epoch_seconds("o_orderdate") + F.col("copy") * 60,
+            "collection": F.lit("checkout_success"),
+            "order_id": F.when(x("l_orderkey % 101 = 0"), F.concat(F.lit("x"), text)).otherwise(F.concat(text, F.lit(".0"))),
+            "cart_products": F.to_json(items),
+        })
+
     @cached_property
     def browsing(self) -> DataFrame:
         """Browse events, one per row of ``events``."""

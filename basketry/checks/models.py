@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from basketry.checks.oracle import cents, query
 from basketry.checks.registry import case
 from basketry.operators import discovery, iprange, profile, quality
-from basketry.plans import catalog, dims, enrichment, facts, mart, reports, warehouse
+from basketry.plans import catalog, dims, enrichment, facts, mart, reports, staging, warehouse
 from basketry.plans.ledger import AttemptLedger
 from basketry.session import cut_lineage, fresh_path
 from basketry.sinks import writers
@@ -38,6 +38,15 @@ def _(i):
     return i.cart.drop("event_timestamp")
 
 
+@case("mod1_win1_order_carts", query("""
+SELECT order_id, product_id, source_event_id, item_index, time_stamp, amount, unit_price, currency_code
+FROM order_line QUALIFY row_number() OVER (
+  PARTITION BY order_id, product_id ORDER BY time_stamp, source_event_id, item_index) = 1"""))
+def _(i):
+    return staging.checkout_cart_items(i.order_carts, i.rates).select(
+        "order_id", "product_id", "source_event_id", "item_index", "time_stamp", "amount", "unit_price", "currency_code")
+
+
 @case("mod2_currency", query("SELECT * FROM cur"))
 def _(i):
     return i.models["stg_currency"]
@@ -396,15 +405,28 @@ def _(i):
 
 
 @case("mod23_raw_export", query("""
-SELECT 'events' AS name, (SELECT count(*) FROM ev) + (SELECT count(*) FROM events) AS cnt
-UNION ALL SELECT 'products', (SELECT count(*) FROM part)"""))
+SELECT name, count(*) AS cnt, CAST(sum(CAST('0x' || substr(md5(line), 1, 8) AS BIGINT)) AS BIGINT) AS digest FROM (
+  SELECT 'events' AS name, concat_ws('|', _id, collection, time_stamp, coalesce(ip, '-'), coalesce(current_url, '-'),
+                                     coalesce(product_id, '-'), coalesce(viewing_product_id, '-')) AS line FROM browse
+  UNION ALL
+  SELECT 'events', concat_ws('|', source_event_id, 'checkout_success', time_stamp, coalesce(ip, '   '), coalesce(
+    'https://' || host || CASE WHEN l_orderkey % 10 = 0 THEN ':8443/checkout' ELSE '/checkout/success?o=' || l_orderkey END,
+    '-'), '-', '-') FROM ev
+  UNION ALL
+  SELECT 'products', concat_ws('|', CASE WHEN p_partkey % 211 = 0 THEN '-' ELSE CAST(p_partkey AS VARCHAR) END,
+    CASE WHEN p_partkey % 53 = 0 THEN '  ' ELSE ' ' || p_name || chr(9) END, p_brand, p_retailprice, p_type) FROM part)
+GROUP BY name"""))
 def _(i):
     paths = writers.export_all({"events": i.events, "products": i.products}, fresh_path(i.spark, "export"))
-    counts = {
-        "events": readers.read_events(i.spark, paths["events"]),
-        "products": readers.read_products(i.spark, paths["products"]),
-    }
-    parts = [df.agg(F.count(F.lit(1)).alias("cnt")).select(F.lit(n).alias("name"), "cnt") for n, df in counts.items()]
+    fields = {"events": ["_id", "collection", "time_stamp", "ip", "current_url", "product_id", "viewing_product_id"],
+              "products": ["product_id", "name", "sku", "price", "category"]}
+    back = {"events": readers.read_events(i.spark, paths["events"]), "products": readers.read_products(i.spark, paths["products"])}
+    parts = []
+    for name, df in back.items():
+        line = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in fields[name]])
+        digest = F.conv(F.substring(F.md5(line), 1, 8), 16, 10).cast("bigint")
+        parts.append(df.agg(F.count(F.lit(1)).alias("cnt"), F.sum(digest).alias("digest")).select(
+            F.lit(name).alias("name"), "cnt", "digest"))
     return parts[0].unionAll(parts[1])
 
 

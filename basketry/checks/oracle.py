@@ -71,6 +71,17 @@ FROM ev LEFT JOIN seed ON pos = symbol_no WHERE NOT broken_cart""",
     "cart": """
 SELECT * FROM item QUALIFY row_number() OVER (
   PARTITION BY order_id, product_id ORDER BY time_stamp, source_event_id, item_index) = 1""",
+    # one checkout event per order (two for some), with a line for each of its items
+    "order_line": """
+SELECT 'c-' || l_orderkey || '-' || copy AS source_event_id, place AS item_index,
+       CAST(epoch(o_orderdate) AS BIGINT) + copy * 60 AS time_stamp,
+       CASE WHEN l_orderkey % 101 <> 0 THEN l_orderkey END AS order_id, l_partkey % 40 AS product_id,
+       CAST(l_quantity AS BIGINT) AS amount, l_extendedprice AS unit_price,
+       CASE l_suppkey % 37 WHEN 36 THEN NULL WHEN 35 THEN 'UNK' ELSE seed.currency_code END AS currency_code
+FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
+                                   l_quantity, l_extendedprice) - 1 AS place FROM lineitem)
+     JOIN orders ON l_orderkey = o_orderkey JOIN (VALUES (0), (1)) c(copy) ON copy = 0 OR l_orderkey % 17 = 0
+     LEFT JOIN seed ON pos = l_suppkey % 37""",
     "prod": f"""
 SELECT {key('CAST(p_partkey AS VARCHAR)')} AS product_key, p_partkey AS product_id,
        CASE WHEN p_partkey % 53 <> 0 THEN p_name END AS product_name, p_brand AS product_sku,

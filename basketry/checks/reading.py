@@ -22,9 +22,10 @@ def _jsonl(i: Inputs, df: DataFrame, name: str) -> str:
 
 @case("src1_event_scan", query("""
 SELECT collection, count(*) AS cnt, count(DISTINCT _id) AS ids, max(time_stamp) AS latest
-FROM browse GROUP BY collection"""))
+FROM (SELECT collection, _id, time_stamp FROM browse
+      UNION ALL SELECT 'checkout_success', source_event_id, time_stamp FROM ev) GROUP BY collection"""))
 def _(i):
-    events = readers.read_events(i.spark, _jsonl(i, i.browsing, "events"))
+    events = readers.read_events(i.spark, _jsonl(i, i.events, "events"))
     return events.groupBy("collection").agg(
         F.count(F.lit(1)).alias("cnt"), F.count_distinct("_id").alias("ids"),
         F.max("time_stamp").alias("latest"))
@@ -169,10 +170,11 @@ def _(i):
 @case("snk7_fixed_column_csv", query("""
 SELECT DISTINCT ip, upper(trim(raw_code)) AS country_code FROM (
   SELECT ip, CASE WHEN split_part(ip, '.', 2) = '8' THEN NULL ELSE raw_code END AS raw_code
-  FROM browse LEFT JOIN place ON CAST(split_part(ip, '.', 2) AS INTEGER) = n WHERE ip IS NOT NULL)
+  FROM (SELECT ip FROM ev UNION ALL SELECT ip FROM browse) LEFT JOIN place ON CAST(split_part(ip, '.', 2) AS INTEGER) = n
+  WHERE ip IS NOT NULL)
 WHERE raw_code <> '-'"""))
 def _(i):
-    located, _ = enrichment.full_load(i.browsing, i.ip_ranges)
+    located, _ = enrichment.full_load(i.events, i.ip_ranges)
     path = fresh_path(i.spark, "ip_csv")
     writers.write_csv(located, path, schemas.IP_LOCATION_COLUMNS)
     back = i.spark.read.option("header", True).csv(path)
@@ -181,12 +183,12 @@ def _(i):
 
 @case("snk10_delta_jsonl", query("""
 SELECT ip, trim(raw_city) AS city_name FROM ipl
-WHERE ip IN (SELECT ip FROM browse) AND c_custkey % 2 = 0"""))
+WHERE ip IN (SELECT ip FROM ev UNION ALL SELECT ip FROM browse) AND c_custkey % 2 = 0"""))
 def _(i):
     # The warehouse knows every second address, the document store all of them.
     number = F.regexp_extract("_id", r"^l(\d+)-", 1).cast("bigint")
     loaded = i.ip_locations.where(number % 2 == 1)
-    delta = enrichment.delta_export(i.browsing, loaded, i.ip_locations)
+    delta = enrichment.delta_export(i.events, loaded, i.ip_locations)
     path = fresh_path(i.spark, "delta")
     writers.export_jsonl(delta, path)
     return readers.read_ip_locations(i.spark, path).select("ip", F.trim("city_name").alias("city_name"))

@@ -102,10 +102,12 @@ def _(i):
 @case("flt6_unknown_range", query("""
 SELECT DISTINCT ip, CASE WHEN n IS NULL OR n IN (3, 8) THEN '-' ELSE trim(raw_code) END AS kept,
        n NOT IN (3, 8) AS in_full_load
-FROM browse LEFT JOIN place ON CAST(split_part(ip, '.', 2) AS INTEGER) = n WHERE ip IS NOT NULL"""))
+FROM (SELECT ip FROM ev UNION ALL SELECT ip FROM browse)
+     LEFT JOIN place ON CAST(split_part(ip, '.', 2) AS INTEGER) = n WHERE ip IS NOT NULL"""))
 def _(i):
-    full = iprange.locate(i.browsing, i.ip_ranges, skip_unknown=True).select("ip", F.lit(True).alias("hit"))
-    kept = iprange.locate(i.browsing, i.ip_ranges, skip_unknown=False)
+    full = iprange.locate(i.events, i.ip_ranges, skip_unknown=True).select("ip", F.lit(True).alias("hit"))
+    # Blank addresses are rejected by either load.
+    kept = iprange.locate(i.events, i.ip_ranges, skip_unknown=False).where("error is null")
     return kept.join(full, "ip", "left").select(
         "ip", F.trim("country_code").alias("kept"), F.coalesce("hit", F.lit(False)).alias("in_full_load"))
 
@@ -226,9 +228,10 @@ def _(i):
 
 
 @case("jon8_rows_with_keys", query("""
-SELECT ip, raw_city AS city_name FROM ipl WHERE ip IN (SELECT ip FROM browse)"""))
+SELECT ip, raw_city AS city_name FROM ipl
+WHERE ip IN (SELECT ip FROM ev UNION ALL SELECT ip FROM browse)"""))
 def _(i):
-    return lookup.rows_with_keys(i.ip_locations, i.browsing, "ip").select("ip", "city_name")
+    return lookup.rows_with_keys(i.ip_locations, i.events, "ip").select("ip", "city_name")
 
 
 @case("jon9_stm4_remaining_tasks", """
@@ -287,6 +290,13 @@ def _(i):
         "source_event_id", "pos", jsontext.scalar("item", "product_id").isNotNull().alias("has_product"))
 
 
+@case("jon12_cmp8_order_cart_lines", query("""
+SELECT source_event_id, item_index, order_id, product_id, amount, unit_price, currency_code FROM order_line"""))
+def _(i):
+    return staging.typed_lines(i.order_carts, i.rates).select(
+        "source_event_id", "item_index", "order_id", "product_id", "amount", "unit_price", "currency_code")
+
+
 @case("jon14_dq5_relationship", """
 SELECT l_orderkey, l_partkey FROM lineitem WHERE l_partkey % 211 = 0""")
 def _(i):
@@ -355,21 +365,26 @@ SELECT field, count(*) AS total, count(CASE WHEN v IS NULL THEN 1 END) AS null_c
        round(count(CASE WHEN v IS NULL THEN 1 END) * 100.0 / count(*), 2)::DOUBLE AS null_percent,
        count(DISTINCT v) AS distinct_count
 FROM (SELECT unnest(['ip', 'product_id', 'viewing_product_id', 'current_url', 'referrer_url', 'collection']) AS field,
-             unnest([ip, product_id, viewing_product_id, current_url, referrer_url, collection]) AS v FROM browse)
+             unnest([ip, product_id, viewing_product_id, current_url, referrer_url, collection]) AS v FROM browse
+      UNION ALL
+      SELECT unnest(['ip', 'product_id', 'viewing_product_id', 'current_url', 'referrer_url', 'collection']),
+             unnest([coalesce(ip, '   '), NULL, NULL, 'https://' || host || CASE WHEN l_orderkey % 10 = 0
+                     THEN ':8443/checkout' ELSE '/checkout/success?o=' || l_orderkey END, NULL, 'checkout_success']) FROM ev)
 GROUP BY field""")
 
 
 @case("agg7_agg8_dq15_column_profile", _PROFILE)
 def _(i):
-    return profile.profile_columns(i.browsing, [
+    return profile.profile_columns(i.events, [
         "ip", "product_id", "viewing_product_id", "current_url", "referrer_url", "collection"])
 
 
 @case("agg7_approximate_profile", query("""
-SELECT 'user_id_db' AS field, count(*) AS total, CAST(0 AS BIGINT) AS null_count, true AS is_close FROM browse"""))
+SELECT 'user_id_db' AS field, count(*) AS total, CAST(0 AS BIGINT) AS null_count, true AS is_close
+FROM (SELECT _id FROM browse UNION ALL SELECT source_event_id FROM ev)"""))
 def _(i):
-    exact = i.browsing.agg(F.count_distinct("user_id_db").alias("exact"))
-    approximate = profile.profile_columns(i.browsing, ["user_id_db"], approximate=True)
+    exact = i.events.agg(F.count_distinct("user_id_db").alias("exact"))
+    approximate = profile.profile_columns(i.events, ["user_id_db"], approximate=True)
     close = F.abs(F.col("distinct_count") - exact.scalar()) <= 0.15 * exact.scalar()
     return approximate.select("field", "total", "null_count", close.alias("is_close"))
 
@@ -525,6 +540,6 @@ def _(i):
 
 
 @case("set2_new_addresses", query("""
-SELECT DISTINCT ip FROM browse WHERE ip IS NOT NULL EXCEPT SELECT ip FROM ipl"""))
+SELECT coalesce(ip, '   ') AS ip FROM ev UNION SELECT ip FROM browse WHERE ip IS NOT NULL EXCEPT SELECT ip FROM ipl"""))
 def _(i):
-    return i.browsing.select("ip").where(F.col("ip").isNotNull()).subtract(i.ip_locations.select("ip"))
+    return i.events.select("ip").where(F.col("ip").isNotNull()).subtract(i.ip_locations.select("ip"))

@@ -414,10 +414,13 @@ def _(i):
 
 @case("cmp15_ip_enrich", query("""
 SELECT DISTINCT ip, trim(raw_code) AS country_code, CAST(NULL AS VARCHAR) AS error
-FROM browse JOIN place ON CAST(split_part(ip, '.', 2) AS INTEGER) = n WHERE n NOT IN (3, 8)
+FROM (SELECT ip FROM ev UNION ALL SELECT ip FROM browse)
+     JOIN place ON CAST(split_part(ip, '.', 2) AS INTEGER) = n WHERE n NOT IN (3, 8)
 UNION ALL
-SELECT DISTINCT 'bad-' || user_id, NULL, 'invalid_ip_address' FROM browse"""))
+SELECT DISTINCT coalesce(ip, '   '), NULL, 'invalid_ip_address' FROM (
+  SELECT 'bad-' || _id AS ip FROM browse UNION ALL SELECT 'bad-' || source_event_id FROM ev
+  UNION ALL SELECT ip FROM ev WHERE ip IS NULL)"""))
 def _(i):
-    broken = i.browsing.select(F.concat(F.lit("bad-"), "user_id_db").alias("ip"))
-    located = iprange.locate(i.browsing.select("ip").unionByName(broken), i.ip_ranges)
+    broken = i.events.select(F.concat(F.lit("bad-"), "_id").alias("ip"))
+    located = iprange.locate(i.events.select("ip").unionByName(broken), i.ip_ranges)
     return located.select("ip", F.trim("country_code").alias("country_code"), "error")
