@@ -10,6 +10,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+SHORT_LIST = 1000
+
 
 def lookup(facts: DataFrame, table: DataFrame, on: str, *, table_key: str | None = None) -> DataFrame:
     """Left equi-join that adds the columns of ``table``; null keys match nothing.
@@ -59,11 +61,13 @@ def best_source(sources: list[DataFrame], key: str) -> DataFrame:
 def every_pair(rows: DataFrame, items: DataFrame) -> DataFrame:
     """Each row with each item of a short list.
 
-    The list travels as one array value (it must be small by nature, such as ISO
-    currency codes), so rows are multiplied in place and nothing is shuffled.
+    The list travels as one array value, such as ISO currency codes, so rows are multiplied in
+    place and nothing is shuffled.  A list of more than ``SHORT_LIST`` items fails the query.
     """
-    packed = items.agg(F.collect_list(F.struct(*items.columns)).alias("items")).scalar()
-    return rows.select("*", F.inline(packed))
+    packed = items.limit(SHORT_LIST + 1).agg(F.collect_list(F.struct(*items.columns)).alias("items"))
+    too_long = F.raise_error(F.lit(f"a list of more than {SHORT_LIST} items"))
+    checked = packed.select(F.when(F.size("items") > SHORT_LIST, too_long).otherwise(F.col("items")).alias("items"))
+    return rows.select("*", F.inline(checked.scalar()))
 
 
 def with_row(df: DataFrame, **values: Column | object) -> DataFrame:

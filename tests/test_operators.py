@@ -348,3 +348,12 @@ def test_best_source_reads_each_side_once(spark):
     made = {tuple(r) for r in lookup.best_source([a, b], "k").collect()}
     assert made == {(1, "a", 3), (2, "b", None), (None, "a", 1)}
     assert lookup.best_source([a.limit(0), b.limit(0)], "k").collect() == []
+
+
+def test_every_pair_takes_short_lists_only(spark):
+    rows = spark.range(2).withColumnRenamed("id", "n")
+    some = spark.range(lookup.SHORT_LIST).select(F.col("id").alias("item"))
+    assert lookup.every_pair(rows, some).count() == 2 * lookup.SHORT_LIST
+    assert lookup.every_pair(rows, some.limit(0)).count() == 0
+    with pytest.raises(Exception, match="more than 1000 items"):
+        lookup.every_pair(rows, spark.range(lookup.SHORT_LIST + 1).select(F.col("id").alias("item"))).collect()
