@@ -133,6 +133,9 @@ class AttemptLedger:
         # The order travels as the attempt, which parsing passes on as it is.
         rank = F.struct(F.lit(0).alias("none"), *order).alias("attempt")
         ready = stored.where(F.col("product_id").isNotNull()).select("product_id", "domain", rank, "html")
+        tasks = next_attempts(plan, self.rows(), number)
+        if tasks.join(ready.select("product_id", "domain"), ["product_id", "domain"], "left_semi").isEmpty():
+            return []  # found out without reading a page
         parsed = cut_lineage(parse_pages(ready).select(
             "task_id", F.col("domain_used").alias("domain"), "status", F.struct(*PRODUCT_COLUMNS).alias("product"),
             F.col("attempt").alias("rank")), "parsed")
