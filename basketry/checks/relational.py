@@ -208,8 +208,8 @@ def _(i):
 @case("jon5_every_pair", query("""
 SELECT date_key, currency_code FROM dim_date, (SELECT currency_code FROM dim_cur WHERE currency_key <> -1)"""))
 def _(i):
-    cart = i.cart
-    codes = dims.currency(staging.currency(i.events, i.rates)).where("currency_key <> -1").select("currency_code")
+    cart = i.models["stg_checkout_success_cart_items"]
+    codes = dims.currency(i.models["stg_currency"]).where("currency_key <> -1").select("currency_code")
     return lookup.every_pair(dims.date(cart).select("date_key"), codes)
 
 
@@ -529,7 +529,7 @@ def _(i):
         "store": dims.store(stg["stg_store"]).select(
             "store_key", F.col("store_id").cast("string"), "store_domain"),
         "product": dims.product(stg["stg_products"]).select("product_key", "product_name", "product_gender"),
-        "customer": dims.customer(i.cart).select(
+        "customer": dims.customer(stg["stg_checkout_success_cart_items"]).select(
             "customer_key", "customer_user_id_db", "customer_email_address"),
     }
     named = [df.toDF("k", "a", "b").withColumn("dim", F.lit(n)) for n, df in parts.items()]
