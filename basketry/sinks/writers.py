@@ -12,8 +12,12 @@ MAX_DOCUMENTS_PER_FILE = 500_000
 
 
 def export_jsonl(df: DataFrame, path: str, *, limit: int | None = None,
-                 max_per_file: int = MAX_DOCUMENTS_PER_FILE) -> None:
-    """JSON-lines parts of at most ``max_per_file`` documents each; instants as ISO-8601 text."""
+                 max_per_file: int = MAX_DOCUMENTS_PER_FILE, compression: str = "gzip") -> None:
+    """JSON-lines parts of at most ``max_per_file`` documents each; instants as ISO-8601 text.
+
+    Every document names all its fields, so plain text is many times the size of its content;
+    Spark's readers tell by the ending whether a part is compressed.
+    """
     df = df.select(*[
         iso_text(F.col(f"`{f.name}`")).alias(f.name)
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)) else F.col(f"`{f.name}`")
@@ -21,7 +25,7 @@ def export_jsonl(df: DataFrame, path: str, *, limit: int | None = None,
     if limit is not None:
         df = df.limit(limit)
     (df.write.option("maxRecordsPerFile", max_per_file)
-       .option("ignoreNullFields", False).mode("errorifexists").json(path))
+       .option("ignoreNullFields", False).option("compression", compression).mode("errorifexists").json(path))
 
 
 def export_all(tables: dict[str, DataFrame], root: str, **options) -> dict[str, str]:

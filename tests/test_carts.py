@@ -1,10 +1,14 @@
 """Carts parsed once: the same fields as an element at a time, and the models that share them."""
 
+import gzip
+import json
+
 from pyspark.sql import functions as F
 
 from basketry.checks import inputs
 from basketry.functions import jsontext
 from basketry.plans import staging, warehouse
+from basketry.sinks import writers
 from basketry.sources import schemas
 from basketry.sources.readers import bundled_currency_rates
 
@@ -48,3 +52,12 @@ def test_models_read_the_raw_events_once(spark):
 def test_pieces_grow_with_the_rows(spark, monkeypatch):
     monkeypatch.setattr(inputs, "ROWS_A_PIECE", 10)
     assert inputs.Inputs(spark, "").spread(spark.range(95), "id").rdd.getNumPartitions() == 10
+
+
+def test_exported_parts_are_compressed(spark, tmp_path):
+    rows = spark.range(2000).selectExpr("cast(id as string) as _id", "cast(null as string) as empty")
+    writers.export_jsonl(rows, f"{tmp_path}/out", max_per_file=600)
+    parts = sorted((tmp_path / "out").glob("part-*"))
+    assert len(parts) >= 4 and sum(p.stat().st_size for p in parts) * 3 < sum(len(f'{{"_id":"{n}","empty":null}}\n') for n in range(2000))
+    assert spark.read.schema(rows.schema).json(f"{tmp_path}/out").exceptAll(rows).isEmpty()
+    assert json.loads(gzip.open(parts[0]).readline()) == {"_id": "0", "empty": None}
