@@ -16,7 +16,8 @@ from basketry.sources import readers, schemas
 
 def _jsonl(i: Inputs, df: DataFrame, name: str) -> str:
     path = fresh_path(i.spark, name)
-    df.write.json(path)
+    # A compressed file is read by one task, so it is kept short.
+    df.write.option("compression", "gzip").option("maxRecordsPerFile", writers.MAX_DOCUMENTS_PER_FILE).json(path)
     return path
 
 
