@@ -439,7 +439,7 @@ def _(i):
     _drop_files(i.ip_locations, f"{bucket}/raw/ip_location")
     _drop_files(i.products, f"{bucket}/raw/products")
     # Not a .jsonl file: it must not be picked up.
-    i.browsing.write.json(f"{bucket}/raw/summary/ignored")
+    i.browsing.write.option("compression", "gzip").json(f"{bucket}/raw/summary/ignored")
     ingest.ingest_all(i.spark, bucket, target, log)
     # More files arrive later; a run without new files adds nothing.
     _drop_files(i.events.where(F.col("time_stamp") % 2 == 1), f"{bucket}/raw/summary")
@@ -452,13 +452,14 @@ def _(i):
 
 
 def _drop_files(df, folder):
-    """JSON-lines files with the ending the ingest looks for.
+    """Compressed JSON-lines files with the ending the ingest looks for.
 
     Of Spark's text writers only the CSV one lets the ending be chosen; with one column
     and quoting off it writes the lines as they are.
     """
     lines = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
-    (lines.write.mode("append").option("extension", "jsonl").option("quote", "\u0000")
+    (lines.write.mode("append").option("extension", "jsonl").option("quote", "\u0000").option("compression", "gzip")
+        .option("maxRecordsPerFile", writers.MAX_DOCUMENTS_PER_FILE)
         .option("sep", "\u0001").csv(folder))
 
 

@@ -93,6 +93,8 @@ PATH_TABLES = {
     "raw/products/": "raw_products",
 }
 
+ENDINGS = (".jsonl", ".jsonl.gz")
+
 RAW_SCHEMAS = {
     "raw_summary": schemas.EVENTS,
     "raw_ip_location": schemas.IP_LOCATIONS,
@@ -102,7 +104,7 @@ RAW_SCHEMAS = {
 
 def table_for_path(name: str) -> str | None:
     """Raw table for a file path relative to the bucket; None means: skip the file."""
-    if not name.endswith(".jsonl"):
+    if not name.endswith(ENDINGS):
         return None
     return next((t for prefix, t in PATH_TABLES.items() if name.startswith(prefix)), None)
 
@@ -112,7 +114,8 @@ def route_column(path: str = "_metadata.file_path", root: str = "") -> Column:
     name = F.regexp_replace(F.col(path), "^" + re.escape(root), "")
     route = F.lit(None).cast("string")
     for prefix, table in PATH_TABLES.items():
-        route = F.when(name.startswith(prefix) & name.endswith(".jsonl"), table).otherwise(route)
+        fits = name.endswith(ENDINGS[0]) | name.endswith(ENDINGS[1])
+        route = F.when(name.startswith(prefix) & fits, table).otherwise(route)
     return route
 
 

@@ -11,13 +11,13 @@ from basketry.sources.readers import PATH_TABLES, RAW_SCHEMAS
 
 def arriving_files(spark: SparkSession, bucket: str, prefix: str, *,
                    files_per_batch: int | None = None) -> DataFrame:
-    """Rows of new ``.jsonl`` files below a prefix; other files are not picked up.
+    """Rows of new ``.jsonl`` files below a prefix, compressed ones included; other files are not picked up.
 
     A line that is not JSON, or whose values do not fit the schema, fails the stream.
     """
     reader = (
         spark.readStream.schema(RAW_SCHEMAS[PATH_TABLES[prefix]])
-        .option("pathGlobFilter", "*.jsonl").option("recursiveFileLookup", True).option("mode", "FAILFAST")
+        .option("pathGlobFilter", "*.{jsonl,jsonl.gz}").option("recursiveFileLookup", True).option("mode", "FAILFAST")
     )
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)

@@ -9,8 +9,9 @@ from basketry.checks import inputs
 from basketry.functions import jsontext
 from basketry.plans import staging, warehouse
 from basketry.sinks import writers
-from basketry.sources import schemas
+from basketry.sources import readers, schemas
 from basketry.sources.readers import bundled_currency_rates
+from basketry.streaming import ingest
 
 NAMES = ["product_id", "price"]
 CARTS = [
@@ -61,3 +62,14 @@ def test_exported_parts_are_compressed(spark, tmp_path):
     assert len(parts) >= 4 and sum(p.stat().st_size for p in parts) * 3 < sum(len(f'{{"_id":"{n}","empty":null}}\n') for n in range(2000))
     assert spark.read.schema(rows.schema).json(f"{tmp_path}/out").exceptAll(rows).isEmpty()
     assert json.loads(gzip.open(parts[0]).readline()) == {"_id": "0", "empty": None}
+
+
+def test_compressed_files_are_ingested(spark, tmp_path):
+    folder = tmp_path / "raw" / "products"
+    folder.mkdir(parents=True)
+    (folder / "a.jsonl").write_text('{"product_id": "1"}\n')
+    (folder / "b.jsonl.gz").write_bytes(gzip.compress(b'{"product_id": "2"}\n'))
+    (folder / "c.json.gz").write_bytes(gzip.compress(b'{"product_id": "3"}\n'))
+    ingest.ingest_prefix(spark, str(tmp_path), "raw/products/", f"{tmp_path}/t", f"{tmp_path}/c").awaitTermination()
+    assert sorted(r[0] for r in spark.read.parquet(f"{tmp_path}/t").select("product_id").collect()) == ["1", "2"]
+    assert readers.table_for_path("raw/products/b.jsonl.gz") == "raw_products"
