@@ -72,12 +72,12 @@ class Inputs:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def spread(self, df: DataFrame, *keys: str) -> DataFrame:
-        """Share out a table by its keys, into as many pieces as any other shuffle, or more of bounded size.
+        """Share out a table by its keys."""
+        return df.repartition(self.pieces(df), *keys)
 
-        The rows are counted from file footers.
-        """
-        pieces = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        return df.repartition(max(pieces, -(-df.count() // ROWS_A_PIECE)), *keys)
+    def pieces(self, df: DataFrame) -> int:
+        """As many pieces as any other shuffle has, or more of bounded size; a table's rows are counted from file footers."""
+        return max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // ROWS_A_PIECE))
 
     @cached_property
     def rates(self) -> DataFrame:

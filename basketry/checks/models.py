@@ -467,8 +467,10 @@ def _drop_files(df, folder):
 SELECT DISTINCT order_id, product_id FROM item"""))
 def _(i):
     source, target, log = (fresh_path(i.spark, n) for n in ("arrivals", "lines", "stream"))
-    i.checkouts.repartition(5, "_id").write.parquet(source)
-    arriving = i.spark.readStream.schema(schemas.EVENTS).option("maxFilesPerTrigger", 1).parquet(source)
+    i.checkouts.repartition(i.pieces(i.table("lineitem")), "_id").write.parquet(source)
+    # Five micro-batches, however many files there are.
+    files = len(i.spark.read.schema(schemas.EVENTS).parquet(source).inputFiles())
+    arriving = i.spark.readStream.schema(schemas.EVENTS).option("maxFilesPerTrigger", -(-files // 5)).parquet(source)
     stream = dedupe.streaming_cart_lines(arriving)
     (stream.writeStream.format("parquet").option("path", target).option("checkpointLocation", log)
         .trigger(availableNow=True).start().awaitTermination())

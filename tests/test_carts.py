@@ -1,13 +1,16 @@
 """Carts parsed once: the same fields as an element at a time, and the models that share them."""
 
+import glob
 import gzip
 import json
+import os
 
 from pyspark.sql import functions as F
 
-from basketry.checks import inputs
+from basketry.checks import cases, inputs
 from basketry.functions import jsontext
 from basketry.plans import staging, warehouse
+from basketry.session import shared_root
 from basketry.sinks import writers
 from basketry.sources import readers, schemas
 from basketry.sources.readers import bundled_currency_rates
@@ -73,3 +76,10 @@ def test_compressed_files_are_ingested(spark, tmp_path):
     ingest.ingest_prefix(spark, str(tmp_path), "raw/products/", f"{tmp_path}/t", f"{tmp_path}/c").awaitTermination()
     assert sorted(r[0] for r in spark.read.parquet(f"{tmp_path}/t").select("product_id").collect()) == ["1", "2"]
     assert readers.table_for_path("raw/products/b.jsonl.gz") == "raw_products"
+
+
+def test_arrivals_of_the_stream_are_dealt_into_pieces(spark, folder, monkeypatch):
+    monkeypatch.setattr(inputs, "ROWS_A_PIECE", 500)
+    cases()["stm3_stream_dedupe"].run(inputs.Inputs.of(spark, folder))
+    newest = max(glob.glob(f"{shared_root(spark)}/arrivals-*"), key=os.path.getmtime)
+    assert len(spark.read.parquet(newest).inputFiles()) >= 12
