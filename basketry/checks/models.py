@@ -482,18 +482,23 @@ def _(i):
     # Files hold the events in scrambled order and micro-batches take some at a time; the rows are those
     # of the batch model.  A last event far ahead moves the watermark past all others.
     source, target, log = (fresh_path(i.spark, n) for n in ("arrivals", "lines", "stream"))
-    i.checkouts.repartition(3, "_id").write.parquet(source)
-    _stream_earliest(i, source, target, log)
-    i.checkouts.limit(1).withColumn("time_stamp", F.lit(4_102_444_800).cast("bigint")).withColumn(
-        "_id", F.lit("last")).write.mode("append").parquet(source)
-    _stream_earliest(i, source, target, log)
+    rows = i.table("lineitem")
+    i.checkouts.repartition(i.pieces(rows), "_id").write.parquet(source)
+    arrived = i.spark.read.schema(schemas.EVENTS).parquet(source)
+    # Five micro-batches, however many files there are.
+    options = {"files": -(-len(arrived.inputFiles()) // 5), "buckets": -(-rows.count() // earliest.KEYS_A_BUCKET)}
+    _stream_earliest(i, source, target, log, **options)
+    # An event with a cart line: the watermark goes by the lines.
+    arrived.where(F.col("cart_products").startswith("[")).limit(1).withColumn(
+        "time_stamp", F.lit(4_102_444_800).cast("bigint")).withColumn("_id", F.lit("last")).write.mode("append").parquet(source)
+    _stream_earliest(i, source, target, log, **options)
     lines = i.spark.read.parquet(target)
     return lines.where(~F.col("late")).drop("late", "event_timestamp")
 
 
-def _stream_earliest(i, source, target, log):
-    arriving = i.spark.readStream.schema(schemas.EVENTS).option("maxFilesPerTrigger", 2).parquet(source)
-    stream = earliest.earliest_cart_lines(arriving, i.rates, delay="4000 days")
+def _stream_earliest(i, source, target, log, files, buckets):
+    arriving = i.spark.readStream.schema(schemas.EVENTS).option("maxFilesPerTrigger", files).parquet(source)
+    stream = earliest.earliest_cart_lines(arriving, i.rates, delay="4000 days", buckets=buckets)
     (stream.writeStream.format("parquet").option("path", target).option("checkpointLocation", log)
         .trigger(availableNow=True).start().awaitTermination())
 

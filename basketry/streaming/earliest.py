@@ -10,6 +10,10 @@ Lines behind the watermark are not lost: one that would have been the earlier ch
 whose key is not known (any more), is passed on marked as late, for a repair by the batch
 merge; one that repeats a known earlier line is dropped.  Lines without a time cannot be
 placed and are not read, as in the batch model.
+
+Spark calls the processor for buckets of keys, not for each key: a call takes all lines of a
+micro-batch that fall into its bucket and compares them with the bucket's known keys as columns.
+What a bucket knows is one compressed Arrow block in its state.
 """
 
 from __future__ import annotations
@@ -17,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -26,7 +31,11 @@ DELAY = "3 days"
 REMEMBER_DAYS = 3
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 OUTPUT = "line string, late boolean"
-STATE = "time_stamp long, event string, item long, line string, sent boolean"
+STATE = "block binary"
+KNOWN = ["key", "time_stamp", "event", "item", "line", "sent"]
+# Calls of the processor cost some 20 ms each; a bucket of some 20,000 keys takes a few MB.
+BUCKETS = 256
+KEYS_A_BUCKET = 20_000
 
 
 def earliest_processor(remember_seconds: int) -> StatefulProcessor:
@@ -35,40 +44,64 @@ def earliest_processor(remember_seconds: int) -> StatefulProcessor:
     class Earliest(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
             self.handle = handle
-            self.best = handle.getValueState("best", STATE)
+            self.known = handle.getValueState("known", STATE)
 
         def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
             behind = timerValues.getCurrentWatermarkInMs() / 1000
-            known = self.best.get()
-            late: list[str] = []
-            started = known
-            for batch in rows:
-                for row in batch.sort_values(["time_stamp", "event", "item"]).itertuples(index=False):
-                    new = (int(row.time_stamp), row.event, int(row.item))
-                    earlier = known is None or new < tuple(known[:3])
-                    if new[0] < behind and (known is None or known[4]):
-                        if earlier:
-                            late.append(row.line)
-                    elif earlier and not (known is not None and known[4]):
-                        known = (*new, row.line, False)
-            if known is not None and known is not started:
-                self._wait(known, known[0] + 1)
-            if late:
+            known = self._read()
+            new = pd.concat(list(rows)).sort_values(["time_stamp", "event", "item"])[KNOWN[:-1]]
+            new.index = range(len(new))
+            old = new[["key"]].merge(known.drop(columns="line"), on="key", how="left")
+            first = old.sent.isna()
+            waits = old.sent.eq(False) & ~first
+            event = old.event.where(~first, "")
+            earlier = ~first & ((new.time_stamp < old.time_stamp) | (new.time_stamp == old.time_stamp) & (
+                (new.event < event) | (new.event == event) & (new.item < old.item)))
+            in_time = new.time_stamp >= behind
+            chosen = new[first & in_time | waits & earlier].drop_duplicates("key").assign(sent=False)
+            late = new.line[~in_time & (first | ~waits & earlier)]
+            if len(chosen):
+                kept = known[~known.key.isin(chosen.key)]
+                self._write(pd.concat([kept, chosen]) if len(kept) else chosen)
+            if len(late):
                 yield pd.DataFrame({"line": late, "late": True})
 
-        def _wait(self, state: tuple, until: int) -> None:
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+            known = self._read()
+            due = self._due(known) * 1000 <= timerValues.getCurrentWatermarkInMs()
+            ready = due & ~known.sent
+            out = known.line[ready]
+            # Of keys that are remembered only their place in the order is kept.
+            known = known.assign(sent=known.sent | ready, line=known.line.where(~ready, ""))[ready | ~due]
+            self._write(known)
+            if len(out):
+                yield pd.DataFrame({"line": out, "late": False})
+
+        def _due(self, known: pd.DataFrame) -> pd.Series:
+            """When each line is sent, or its key forgotten."""
+            return known.time_stamp + 1 + known.sent * remember_seconds
+
+        def _read(self) -> pd.DataFrame:
+            state = self.known.get()
+            if state is None:
+                return pd.DataFrame({"key": pd.Series(dtype=object), "time_stamp": pd.Series(dtype="int64"),
+                                     "event": pd.Series(dtype=object), "item": pd.Series(dtype="int64"),
+                                     "line": pd.Series(dtype=object), "sent": pd.Series(dtype=bool)})
+            with pa.ipc.open_stream(state[0]) as block:
+                return block.read_pandas()
+
+        def _write(self, known: pd.DataFrame) -> None:
             for timer in list(self.handle.listTimers()):
                 self.handle.deleteTimer(timer)
-            self.best.update(state)
-            self.handle.registerTimer(until * 1000)
-
-        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-            known = self.best.get()
-            if known is not None and not known[4]:
-                self._wait((*known[:3], "", True), known[0] + 1 + remember_seconds)
-                yield pd.DataFrame({"line": [known[3]], "late": [False]})
-            else:
-                self.best.clear()
+            if known.empty:
+                self.known.clear()
+                return
+            table = pa.Table.from_pandas(known[KNOWN], preserve_index=False)
+            block = pa.BufferOutputStream()
+            with pa.ipc.new_stream(block, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+                stream.write_table(table)
+            self.known.update((block.getvalue().to_pybytes(),))
+            self.handle.registerTimer(int(self._due(known).min()) * 1000)
 
         def close(self) -> None:
             pass
@@ -77,20 +110,22 @@ def earliest_processor(remember_seconds: int) -> StatefulProcessor:
 
 
 def earliest_cart_lines(events: DataFrame, currency_rates: DataFrame, delay: str = DELAY,
-                        remember_days: int = REMEMBER_DAYS) -> DataFrame:
+                        remember_days: int = REMEMBER_DAYS, buckets: int = BUCKETS) -> DataFrame:
     """Cart lines of a stream of raw events as the batch model has them, and late: whether behind the watermark.
 
-    State lies in RocksDB.  The output is for append mode.
+    State lies in RocksDB.  The output is for append mode.  ``buckets`` should grow with the keys that
+    are known at a time, about one for ``KEYS_A_BUCKET``; a started stream has to stay with its number.
     """
     events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     lines = staging.typed_lines(events, currency_rates)
     names, schema = lines.columns, lines.schema
     timed = lines.withWatermark("event_timestamp", delay)
     packed = timed.select(
+        F.pmod(F.xxhash64("order_id", "product_id"), F.lit(buckets)).alias("bucket"),
         F.to_json(F.struct("order_id", "product_id")).alias("key"), "time_stamp",
-        F.col("source_event_id").alias("event"), F.col("item_index").alias("item"),
+        F.coalesce("source_event_id", F.lit("")).alias("event"), F.col("item_index").alias("item"),
         F.to_json(F.struct(*[c for c in names if c != "event_timestamp"])).alias("line"))
-    kept = packed.groupBy("key").transformWithStateInPandas(
+    kept = packed.groupBy("bucket").transformWithStateInPandas(
         statefulProcessor=earliest_processor(remember_days * 86400), outputStructType=OUTPUT, outputMode="append",
         timeMode="EventTime")
     back = kept.select(F.from_json("line", schema).alias("line"), "late").select("line.*", "late")
