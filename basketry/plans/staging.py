@@ -34,9 +34,11 @@ def parsed_carts(events: DataFrame) -> DataFrame:
 
 def cart_lines(events: DataFrame) -> DataFrame:
     """One row per product in the cart of a checkout event, fields still as text."""
+    # From a generator that drops rows Spark infers a filter on the items and moves it down to the
+    # scan: every cart would be parsed there, and once more here.  An empty cart gives no product.
     lines = parsed_carts(events).where(F.col("time_stamp").isNotNull()).select(
         F.col("_id").alias("source_event_id"), "time_stamp", "local_time", "order_id",
-        *CLEANED, F.posexplode(ITEMS).alias("item_index", "item"),
+        *CLEANED, F.posexplode_outer(ITEMS).alias("item_index", "item"),
     ).where(F.col("item.product_id").isNotNull())
     return lines.select(
         "source_event_id", "time_stamp", "local_time", "order_id",

@@ -2,6 +2,8 @@
 
 import pandas as pd
 
+from basketry.checks.inputs import Inputs
+from basketry.plans import staging
 from basketry.streaming.earliest import earliest_processor
 
 
@@ -56,3 +58,10 @@ def test_stream_keeps_many_keys_in_one_call():
     assert put(60, ("k5", 51, "b", 0, "repeat"), ("k6", 49, "b", 0, "earlier")) == [("earlier", True)]
     assert expire(200) == [] and handle.value is None and not handle.timers
     assert put(200, ("k5", 51, "b", 0, "unknown")) == [("unknown", True)]
+
+
+def test_carts_are_not_parsed_in_the_scan_as_well(spark, folder):
+    lines = staging.cart_lines(Inputs.of(spark, folder).checkouts)
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" in plan
+    assert not [line for line in plan.splitlines() if "Filter" in line and "from_json" in line]
