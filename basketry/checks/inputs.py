@@ -17,7 +17,7 @@ from basketry.plans import catalog, staging, warehouse
 from basketry.sources import schemas
 from basketry.sources.readers import Registry, bundled_currency_rates, bundled_rate_rows
 
-ROWS_A_PIECE = 1_000_000
+ROWS_A_PIECE = 250_000
 UNMAPPED_SYMBOL = "¤?"
 GENDER_SAMPLES = ["Women", " female ", "MEN", "Kids", "çocuk", "женски", "male", "", None,
                   "Kadın", "unisex"]

@@ -65,3 +65,7 @@ def test_carts_are_not_parsed_in_the_scan_as_well(spark, folder):
     plan = lines._jdf.queryExecution().optimizedPlan().toString()
     assert "from_json" in plan
     assert not [line for line in plan.splitlines() if "Filter" in line and "from_json" in line]
+
+
+def test_pieces_stay_small(spark):
+    assert Inputs(spark, "").pieces(spark.range(10_000_000)) >= 40
