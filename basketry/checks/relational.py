@@ -208,8 +208,9 @@ def _(i):
 @case("jon5_every_pair", query("""
 SELECT date_key, currency_code FROM dim_date, (SELECT currency_code FROM dim_cur WHERE currency_key <> -1)"""))
 def _(i):
-    cart = i.models["stg_checkout_success_cart_items"]
-    codes = dims.currency(i.models["stg_currency"]).where("currency_key <> -1").select("currency_code")
+    models = i.models_of_one_use
+    cart = models["stg_checkout_success_cart_items"]
+    codes = dims.currency(models["stg_currency"]).where("currency_key <> -1").select("currency_code")
     return lookup.every_pair(dims.date(cart).select("date_key"), codes)
 
 
@@ -521,7 +522,7 @@ UNION ALL SELECT 'store', store_key, CAST(store_id AS VARCHAR), store_domain FRO
 UNION ALL SELECT 'product', product_key, product_name, product_gender FROM dim_prod
 UNION ALL SELECT 'customer', customer_key, customer_user_id_db, customer_email_address FROM dim_cust"""))
 def _(i):
-    stg = i.models
+    stg = i.models_of_one_use
     parts = {
         "currency": dims.currency(stg["stg_currency"]).select("currency_key", "currency_code", "currency_name"),
         "location": dims.location(stg["stg_location"]).select(

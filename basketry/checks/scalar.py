@@ -8,7 +8,7 @@ from basketry.checks.oracle import key, query
 from basketry.checks.registry import case
 from basketry.functions import business, dates, jsontext, keys, numbers, text
 from basketry.operators import discovery, iprange, pages
-from basketry.plans import catalog, staging
+from basketry.plans import catalog, staging, warehouse
 from basketry.sources.readers import bundled_rate_rows
 
 # Characters and words that are put around values for the functions to deal with.
@@ -239,7 +239,7 @@ def _rates():
 @case("mth2_line_revenue", query("SELECT detail_key, total_revenue_usd FROM mart"))
 def _(i):
     amount = F.col("sales_amount") * F.col("sales_usd_price")
-    return i.fact.select("detail_key", amount.cast("double").alias("total_revenue_usd"))
+    return i.models_of_one_use[warehouse.FACT].select("detail_key", amount.cast("double").alias("total_revenue_usd"))
 
 
 @case("mth3_percent", """
@@ -332,7 +332,7 @@ SELECT count(CASE WHEN product_key = -1 THEN 1 END) AS products, count(CASE WHEN
 def _(i):
     names = {"products": "product_key", "locations": "location_key", "currencies": "currency_key",
              "stores": "store_key", "customers": "customer_key"}
-    return i.fact.agg(*[F.count_if(F.col(k) == keys.UNKNOWN_KEY).alias(n) for n, k in names.items()])
+    return i.models_of_one_use[warehouse.FACT].agg(*[F.count_if(F.col(k) == keys.UNKNOWN_KEY).alias(n) for n, k in names.items()])
 
 
 @case("cmp8_detail_keys", query("SELECT order_id, product_id, detail_key, order_product_key FROM (SELECT *, sold_product_id AS product_id FROM fact)"))

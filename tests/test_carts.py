@@ -83,3 +83,39 @@ def test_arrivals_of_the_stream_are_dealt_into_pieces(spark, folder, monkeypatch
     cases()["stm3_stream_dedupe"].run(inputs.Inputs.of(spark, folder))
     newest = max(glob.glob(f"{shared_root(spark)}/arrivals-*"), key=os.path.getmtime)
     assert len(spark.read.parquet(newest).inputFiles()) >= 12
+
+
+def test_cart_texts_are_those_of_to_json(spark):
+    price, symbol = "1,234.50", 'a"\\€'
+    rows = spark.createDataFrame([(True, 5, 2, price, 0), (False, 5, 2, price, 0), (False, None, None, None, 1), (None, 5, 2, price, None)],
+                                 "first boolean, product bigint, amount int, price string, place int")
+    currency = F.get(F.array(F.lit(inputs._member("currency", symbol)), F.lit(inputs._member("currency", None))), F.col("place"))
+    kind = "struct<product_id:bigint,amount:int,price:string,currency:string,option:array<struct<option_id:int,option_label:string>>>"
+    option = F.array(F.struct(F.lit(7).alias("option_id"), F.lit('a "quoted" {label}').alias("option_label")))
+    item = F.struct("product", "amount", "price", F.when(F.col("place") == 0, symbol), option).cast(kind)
+    other = F.struct(F.lit(None), F.lit(1), F.lit("5.00"), F.lit("€"), F.lit(None)).cast(kind)
+    made = rows.select(
+        inputs._cart_text(F.col("first"), F.col("product"), F.col("amount"), F.col("price"), currency).alias("text"),
+        F.to_json(F.when(F.col("first"), F.array(item, other)).otherwise(F.array(other, item))).alias("json")).collect()
+    assert [r["text"] for r in made] == [r["json"] for r in made]
+
+
+def test_places_are_cleaned_in_pieces(spark, folder, monkeypatch):
+    monkeypatch.setattr(inputs, "ROWS_A_PIECE", 10)
+    raw = inputs.Inputs(spark, folder)
+    assert raw.ip_locations.rdd.getNumPartitions() == raw.pieces(raw.table("customer")) > 8
+
+
+def test_lines_of_one_use_are_not_written(spark, folder):
+    def written():
+        return len(glob.glob(f"{shared_root(spark)}/{warehouse.CART}-*"))
+
+    before = written()
+    for name in ("jon5_every_pair", "set1_unknown_members", "mth2_line_revenue", "cmp6_unknown_fallback"):
+        cases()[name].run(inputs.Inputs.of(spark, folder)).schema
+    assert written() == before
+
+
+def test_shuffles_of_large_tables_begin_with_many_partitions(spark):
+    rows = spark.range(20).groupBy(F.col("id") % 7).count()
+    assert "192)" in rows._jdf.queryExecution().executedPlan().toString()

@@ -2,6 +2,7 @@
 
 import datetime
 import hashlib
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -150,3 +151,27 @@ def test_ipv4(values):
         167772161, 4294967295, None, None, None, None]
     assert values(iprange.address_error, ["10.0.0.1", "::1", "x"]) == [
         None, "ipv6_not_in_ipv4_ranges", "invalid_ip_address"]
+
+
+def test_short_ways_of_hosts_and_numbers_agree_with_the_patterns(values):
+    urls = ["https://a.b/c", "https://a.b", "https://u@a.b/c", "https://a.b:80/c", "https://a.b?x/y", "https://a.b#x/@", "https:///x", "https://",
+            "https://a\u00e9.b/", "http://a.b/c", "//a.b/c", "a.b/c", " https://a.b/x ", "", None]
+    hosts = ["a.b", "a.b", "a.b", "a.b", "a.b", "a.b", "https", "https", "a\u00e9.b", "a.b", "a.b", "a.b", "a.b", None, None]
+    assert values(text.url_host, urls) == hosts
+    pattern = lambda t: F.regexp_extract(t, numbers._PLAIN_NUMBER, 1).try_cast("double")
+    texts = ["1", "-1.5", "+.5e-3", "5.e3", "0x1p3", "0X1P3", "1d", "12f", "1e5", "1e999", " 1 ", "1 2", ".", "/", "1_0", "NaN", "-", "", None, "٣", "1."]
+    assert values(numbers.to_double, texts) == values(pattern, texts)
+    prices = ["1,234.56", "1.234,56", "12,345", ".50", "50", "1.5", "1.23.45", "1,2,34", "a.bc", "1..2", "1.2,", "1.234.567,89", "1,234,567.8", "", None]
+
+    def by_rule(price):
+        if price is None:
+            return None
+        at = max(price.rfind("."), price.rfind(","))
+        tail = price[at + 1:]
+        if at < 0 or re.fullmatch("[0-9]{3}", tail):
+            plain = price.replace(".", "").replace(",", "")
+        else:
+            plain = price[:at].replace("." if price[at] == "," else ",", "") + "." + tail
+        return float(plain) if re.fullmatch(numbers._PLAIN_NUMBER, plain) else None
+
+    assert values(numbers.parse_price, prices) == [by_rule(p) for p in prices]
