@@ -42,6 +42,7 @@ STEP = 2048  # tokens
 RATE = 0.1
 SHARD = 1 << 23  # tokens a task trains on, about; a partition of the input is not split
 PIECE = 1 << 17  # tokens scored at once
+BLOCK = 1 << 12  # of these, whose scores of all groups fit a core's cache
 PART = 4096  # vectors passed on together
 HEAP = 32  # shards whose changes are added up together
 END = b""  # no word is empty
@@ -179,13 +180,12 @@ def _log_sum(scores: np.ndarray) -> np.ndarray:
     return most + np.log(scores.sum(0))
 
 
-def _logistic(x: np.ndarray) -> np.ndarray:
-    """In place, without overflow."""
-    x *= 0.5
-    np.tanh(x, out=x)
+def _logistic_of_negative(x: np.ndarray) -> np.ndarray:
+    """1 / (1 + e^x) in place; where e^x is too large for a number that is 0."""
+    with np.errstate(over="ignore"):
+        np.exp(x, out=x)
     x += 1
-    x *= 0.5
-    return x
+    return np.reciprocal(x, out=x)
 
 
 def _summed(places: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -193,7 +193,8 @@ def _summed(places: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarra
     order = np.argsort(places)
     held = places[order]
     stops = np.flatnonzero(np.concatenate((held[1:] != held[:-1], [True])))
-    sizes = np.diff(stops, prepend=-1)
+    sizes = stops + 1
+    sizes[1:] = stops[1:] - stops[:-1]
     once = sizes == 1
     made = np.empty((len(stops), rows.shape[1]), rows.dtype)
     made[once] = rows.take(order[stops[once]], 0)
@@ -274,8 +275,11 @@ class Bilinear:
         order = np.argsort(classes)
         hidden, classes, places = np.ascontiguousarray(hidden.take(order, 0).T), classes[order], tree.places[entries[order]]
         groups = self.groups[classes]
-        scores = self.group_vectors @ hidden
-        found = scores[groups, np.arange(len(groups))] - _log_sum(scores)
+        found = np.empty(len(groups), np.float32)
+        for at in range(0, len(groups), BLOCK):
+            scores = self.group_vectors @ hidden[:, at:at + BLOCK]
+            found[at:at + BLOCK] = scores[groups[at:at + BLOCK], np.arange(scores.shape[1])]
+            found[at:at + BLOCK] -= _log_sum(scores)
 
         def within(parents: np.ndarray, children: np.ndarray, starts: np.ndarray, vectors: np.ndarray) -> None:
             cuts = np.searchsorted(parents, np.arange(len(starts)))
@@ -304,6 +308,13 @@ def untrained(vocab: Vocabulary) -> Bilinear:
                     (1.0 / np.arange(1, CONTEXT + 1))[:, None].repeat(WIDTH, 1).astype(np.float32), classes, groups)
 
 
+def _less_bias(vectors: np.ndarray, shift: np.ndarray) -> np.ndarray:
+    """The negative vectors with a shift taken off the bias, which a hidden vector's last place, 1, adds."""
+    made = -vectors
+    made[:, WIDTH] += shift
+    return made
+
+
 class Trainer:
     """Steps of noise-contrastive estimation; a row's step falls with the squares of its slopes so far.
 
@@ -327,28 +338,26 @@ class Trainer:
         squares = self.squares[k][places] + np.einsum("ij,ij->i", slopes, slopes) / slopes.shape[1]
         self.squares[k][places] = squares
         self.times[k][places] += 1
-        self.tables[k][places] += slopes * (RATE / np.sqrt(squares))[:, None]
+        rows = self.tables[k].take(places, 0)
+        rows += slopes * (RATE / np.sqrt(squares))[:, None]
+        self.tables[k][places] = rows
 
     def contrast(self, hidden: np.ndarray, real: np.ndarray, drawn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Slopes of the hidden vectors and of those of the real words, after a move of the drawn ones."""
         vectors, shift = self.model.vectors, self.shift
         good, bad = vectors.take(real, 0), vectors.take(drawn, 0)
-        up = _logistic(shift[real] - np.einsum("ij,ij->i", hidden, good))[:, None]
-        down = hidden @ bad.T
-        down -= shift[drawn]
-        _logistic(down)
-        down *= -NOISE / len(drawn)
+        up = _logistic_of_negative(np.einsum("ij,ij->i", hidden, good) - shift[real])[:, None]
+        down = _logistic_of_negative(hidden @ _less_bias(bad, shift[drawn]).T)
+        each = np.float32(-NOISE / len(drawn))
         good *= up
-        good += down @ bad
-        self.move(1, *_summed(drawn, down.T @ hidden))
+        good += down @ (bad * each)
+        self.move(1, *_summed(drawn, down.T @ hidden * each))
         return good, up * hidden
 
     def contrast_groups(self, hidden: np.ndarray, real: np.ndarray) -> np.ndarray:
         """Slopes of the hidden vectors, after a move of all groups."""
         vectors = self.model.group_vectors
-        slopes = hidden @ vectors.T
-        slopes -= self.group_shift
-        _logistic(slopes)
+        slopes = _logistic_of_negative(hidden @ _less_bias(vectors, self.group_shift).T)
         rows = np.arange(len(real))
         up = 1 - slopes[rows, real]
         slopes *= -self.group_noise
