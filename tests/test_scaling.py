@@ -1,9 +1,15 @@
 """Steps whose work must not grow faster than their input."""
 
+import glob
+import os
+
 import pandas as pd
+import pyarrow.parquet as pq
 
+import __spark_entry__ as entry_points
 from basketry.checks.inputs import Inputs
-from basketry.plans import staging
+from basketry.plans import facts, staging, warehouse
+from basketry.session import shared_root
 from basketry.streaming.earliest import earliest_processor
 
 
@@ -69,3 +75,13 @@ def test_carts_are_not_parsed_in_the_scan_as_well(spark, folder):
 
 def test_pieces_stay_small(spark):
     assert Inputs(spark, "").pieces(spark.range(10_000_000)) >= 40
+
+
+def test_incremental_fact_writes_only_what_the_fact_needs_of_the_lines(spark, folder):
+    def written():
+        return set(glob.glob(os.path.join(shared_root(spark).removeprefix("file:"), f"{warehouse.CART}-*")))
+
+    before = written()
+    entry_points.queries()["mod13_snk15_incremental_fact"](spark, folder)
+    made, = written() - before
+    assert pq.ParquetDataset(made).schema.names == facts.CART_COLUMNS
