@@ -112,17 +112,33 @@ class Inputs:
         return self.spread(self.table("lineitem").select(*columns), "l_orderkey")
 
     @cached_property
-    def checkouts(self) -> DataFrame:
-        """A checkout event per line item; orders divisible by 17 are tracked twice."""
+    def tracked_lines(self) -> DataFrame:
+        """The line items with what their checkout events need of the order, once for each event."""
         x = F.expr
         # What follows from the day is made once an order, not once a line.
         orders = self.table("orders").select(
             "o_orderkey", "o_custkey", "o_orderpriority", epoch_seconds("o_orderdate").alias("o_seconds"),
             F.col("o_orderdate").cast("string").alias("o_local_time"))
         lines = self.line_items
-        df = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).withColumn(
+        return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).withColumn(
             "copy", x("explode(if(l_orderkey % 17 = 0, array(0, 1), array(0)))")
         )
+
+    @cached_property
+    def checkouts(self) -> DataFrame:
+        """A checkout event per line item; orders divisible by 17 are tracked twice."""
+        return self._checkouts_of(self.tracked_lines)
+
+    def scrambled_checkouts(self) -> DataFrame:
+        """The checkout events dealt into pieces by their id, so that none holds an order's events together.
+
+        What is dealt are the columns the id is made of and a few more; an event is many times as wide.
+        """
+        of_id = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "copy"]
+        return self._checkouts_of(self.tracked_lines.repartition(self.pieces(self.table("lineitem")), *of_id))
+
+    def _checkouts_of(self, df: DataFrame) -> DataFrame:
+        x = F.expr
         seconds = x("o_seconds + (l_linenumber * 10 + copy * 60)")
         us_price = x(
             "if(l_suppkey % 7 = 0, format_number(floor(l_extendedprice), 0), "

@@ -469,12 +469,12 @@ def _drop_files(df, folder):
 SELECT DISTINCT order_id, product_id FROM item"""))
 def _(i):
     source, target, log = (fresh_path(i.spark, n) for n in ("arrivals", "lines", "stream"))
-    i.checkouts.repartition(i.pieces(i.table("lineitem")), "_id").write.parquet(source)
+    i.scrambled_checkouts().write.option("compression", "zstd").parquet(source)
     # Five micro-batches, however many files there are.
     files = len(i.spark.read.schema(schemas.EVENTS).parquet(source).inputFiles())
     arriving = i.spark.readStream.schema(schemas.EVENTS).option("maxFilesPerTrigger", -(-files // 5)).parquet(source)
     stream = dedupe.streaming_cart_lines(arriving)
-    (stream.writeStream.format("parquet").option("path", target).option("checkpointLocation", log)
+    (stream.writeStream.format("parquet").option("compression", "zstd").option("path", target).option("checkpointLocation", log)
         .trigger(availableNow=True).start().awaitTermination())
     return i.spark.read.parquet(target).select("order_id", "product_id")
 
@@ -485,7 +485,7 @@ def _(i):
     # of the batch model.  A last event far ahead moves the watermark past all others.
     source, target, log = (fresh_path(i.spark, n) for n in ("arrivals", "lines", "stream"))
     rows = i.table("lineitem")
-    i.checkouts.repartition(i.pieces(rows), "_id").write.parquet(source)
+    i.scrambled_checkouts().write.option("compression", "zstd").parquet(source)
     arrived = i.spark.read.schema(schemas.EVENTS).parquet(source)
     # Five micro-batches, however many files there are.
     options = {"files": -(-len(arrived.inputFiles()) // 5), "buckets": -(-rows.count() // earliest.KEYS_A_BUCKET)}
@@ -501,7 +501,7 @@ def _(i):
 def _stream_earliest(i, source, target, log, files, buckets):
     arriving = i.spark.readStream.schema(schemas.EVENTS).option("maxFilesPerTrigger", files).parquet(source)
     stream = earliest.earliest_cart_lines(arriving, i.rates, delay="4000 days", buckets=buckets)
-    (stream.writeStream.format("parquet").option("path", target).option("checkpointLocation", log)
+    (stream.writeStream.format("parquet").option("compression", "zstd").option("path", target).option("checkpointLocation", log)
         .trigger(availableNow=True).start().awaitTermination())
 
 

@@ -74,8 +74,9 @@ def _keyed_lines(events: DataFrame) -> DataFrame:
                  .withColumn("product_id", to_long("item_product_id")).drop("item_product_id"))
 
 
-def _typed(keyed: DataFrame, currency_rates: DataFrame) -> DataFrame:
+def _typed(keyed: DataFrame, currency_rates: DataFrame, *others: str) -> DataFrame:
     typed = keyed.select(
+        *others,
         "source_event_id",
         F.col("item_index").cast("bigint").alias("item_index"),
         "time_stamp",
@@ -97,6 +98,27 @@ def typed_lines(events: DataFrame, currency_rates: DataFrame) -> DataFrame:
     return _typed(_keyed_lines(events), currency_rates)
 
 
+def packed_lines(events: DataFrame) -> DataFrame:
+    """All lines with the columns that order them, and each whole line as one text, ``line``.
+
+    The text is a JSON array of values: a fraction of the typed line, which has more columns that
+    follow from others, under their names.
+    """
+    keyed = _keyed_lines(events)
+    return keyed.select("order_id", "product_id", "time_stamp", "source_event_id", "item_index",
+                        F.to_json(F.array(*[F.col(c).cast("string") for c in keyed.columns])).alias("line"))
+
+
+def unpacked_lines(packed: DataFrame, events: DataFrame, currency_rates: DataFrame) -> DataFrame:
+    """Typed lines from the texts of ``packed_lines``; other columns of ``packed`` stay beside them."""
+    keyed = _keyed_lines(events).schema
+    others = [c for c in packed.columns if c != "line"]
+    values = packed.select(*others, F.from_json("line", "array<string>").alias("__line"))
+    lines = values.select(*others, *[
+        F.get("__line", F.lit(n)).cast(f.dataType).alias(f.name) for n, f in enumerate(keyed)])
+    return _typed(lines, currency_rates, *others)
+
+
 def checkout_cart_items(events: DataFrame, currency_rates: DataFrame) -> DataFrame:
     """Distinct (order, product) lines of successful checkouts; of repeated tracking events
     the earliest stays."""

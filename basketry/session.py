@@ -23,6 +23,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Shuffle files go when the query that made them ends, not when the driver happens to collect
+    # its garbage: what is on disk at a time is one step's shuffles, not those of all steps so far.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     # HotSpot never compiles a method of more bytes: a stage whose generated code is larger would

@@ -13,7 +13,12 @@ placed and are not read, as in the batch model.
 
 Spark calls the processor for buckets of keys, not for each key: a call takes all lines of a
 micro-batch that fall into its bucket and compares them with the bucket's known keys as columns.
-What a bucket knows is one compressed Arrow block in its state.
+What a bucket knows is one compressed Arrow block in its state.  Lines travel and wait as they
+come from the cart, as one text each, and are typed when they leave.
+
+State on disk: a block is compressed as a whole, some lines at a time beside each other, so that
+what a line repeats of its key and event costs little; each commit of the store is compacted, and
+older commits than a restart needs are removed.
 """
 
 from __future__ import annotations
@@ -31,6 +36,12 @@ DELAY = "3 days"
 REMEMBER_DAYS = 3
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 OUTPUT = "line string, late boolean"
+# Each commit writes the blocks anew, so every commit that is kept is as large as the state.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    "spark.sql.streaming.stateStore.rocksdb.compactOnCommit": "true",
+    "spark.sql.streaming.minBatchesToRetain": "2",
+}
 STATE = "block binary"
 KNOWN = ["key", "time_stamp", "event", "item", "line", "sent"]
 # Calls of the processor cost some 20 ms each; a bucket of some 20,000 keys takes a few MB.
@@ -87,7 +98,8 @@ def earliest_processor(remember_seconds: int) -> StatefulProcessor:
                 return pd.DataFrame({"key": pd.Series(dtype=object), "time_stamp": pd.Series(dtype="int64"),
                                      "event": pd.Series(dtype=object), "item": pd.Series(dtype="int64"),
                                      "line": pd.Series(dtype=object), "sent": pd.Series(dtype=bool)})
-            with pa.ipc.open_stream(state[0]) as block:
+            size, packed = int.from_bytes(state[0][:8], "big"), state[0][8:]
+            with pa.ipc.open_stream(pa.Codec("zstd").decompress(packed, size)) as block:
                 return block.read_pandas()
 
         def _write(self, known: pd.DataFrame) -> None:
@@ -98,9 +110,11 @@ def earliest_processor(remember_seconds: int) -> StatefulProcessor:
                 return
             table = pa.Table.from_pandas(known[KNOWN], preserve_index=False)
             block = pa.BufferOutputStream()
-            with pa.ipc.new_stream(block, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
-                stream.write_table(table)
-            self.known.update((block.getvalue().to_pybytes(),))
+            # Columns lie a thousand lines at a time beside each other, within the reach of the codec.
+            with pa.ipc.new_stream(block, table.schema) as stream:
+                stream.write_table(table, max_chunksize=1000)
+            plain = block.getvalue()
+            self.known.update((plain.size.to_bytes(8, "big") + pa.Codec("zstd", 3).compress(plain, asbytes=True),))
             self.handle.registerTimer(int(self._due(known).min()) * 1000)
 
         def close(self) -> None:
@@ -116,17 +130,16 @@ def earliest_cart_lines(events: DataFrame, currency_rates: DataFrame, delay: str
     State lies in RocksDB.  The output is for append mode.  ``buckets`` should grow with the keys that
     are known at a time, about one for ``KEYS_A_BUCKET``; a started stream has to stay with its number.
     """
-    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    lines = staging.typed_lines(events, currency_rates)
-    names, schema = lines.columns, lines.schema
-    timed = lines.withWatermark("event_timestamp", delay)
-    packed = timed.select(
+    for name, value in STATE_CONF.items():
+        events.sparkSession.conf.set(name, value)
+    lines = staging.packed_lines(events).withColumn("event_timestamp", F.timestamp_seconds("time_stamp"))
+    packed = lines.withWatermark("event_timestamp", delay).select(
         F.pmod(F.xxhash64("order_id", "product_id"), F.lit(buckets)).alias("bucket"),
-        F.to_json(F.struct("order_id", "product_id")).alias("key"), "time_stamp",
-        F.coalesce("source_event_id", F.lit("")).alias("event"), F.col("item_index").alias("item"),
-        F.to_json(F.struct(*[c for c in names if c != "event_timestamp"])).alias("line"))
+        # Ids are numbers, so no id and a missing one have different texts.
+        F.concat_ws("-", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in staging.LINE_KEY]).alias("key"), "time_stamp",
+        F.coalesce("source_event_id", F.lit("")).alias("event"), F.col("item_index").cast("bigint").alias("item"), "line")
     kept = packed.groupBy("bucket").transformWithStateInPandas(
         statefulProcessor=earliest_processor(remember_days * 86400), outputStructType=OUTPUT, outputMode="append",
         timeMode="EventTime")
-    back = kept.select(F.from_json("line", schema).alias("line"), "late").select("line.*", "late")
-    return back.withColumn("event_timestamp", F.timestamp_seconds("time_stamp"))
+    typed = staging.unpacked_lines(kept, events, currency_rates)
+    return typed.select(*[c for c in typed.columns if c not in ("late", "event_timestamp")], "late", "event_timestamp")

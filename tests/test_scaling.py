@@ -1,7 +1,9 @@
 """Steps whose work must not grow faster than their input."""
 
 import glob
+import hashlib
 import os
+import time
 
 import pandas as pd
 import pyarrow.parquet as pq
@@ -10,7 +12,7 @@ import __spark_entry__ as entry_points
 from basketry.checks.inputs import Inputs
 from basketry.plans import facts, staging, warehouse
 from basketry.session import shared_root
-from basketry.streaming.earliest import earliest_processor
+from basketry.streaming.earliest import earliest_cart_lines, earliest_processor
 
 
 class Handle:
@@ -66,6 +68,50 @@ def test_stream_keeps_many_keys_in_one_call():
     assert put(200, ("k5", 51, "b", 0, "unknown")) == [("unknown", True)]
 
 
+def test_state_holds_what_a_line_repeats_once():
+    handle, processor = Handle(), earliest_processor(100)
+    processor.init(handle)
+    ids = [hashlib.md5(str(n).encode()).hexdigest() for n in range(4000)]
+    rows = [(k[:16], 50, k[16:], 0, f'["{k[16:]}","{k[:16]}"]') for k in ids]
+    assert list(processor.handleInputRows((0,), iter([pd.DataFrame(rows, columns=["key", "time_stamp", "event", "item", "line"])]), Times(0))) == []
+    assert len(handle.value[0]) < 33 * len(rows)  # the ids of a line alone are 16 bytes
+    out, = processor.handleExpiredTimer((0,), Times(60), None)
+    assert sorted(out.line) == sorted(r[4] for r in rows)
+
+
+def test_old_state_does_not_pile_up(spark, folder):
+    inputs = Inputs.of(spark, folder)
+    earliest_cart_lines(inputs.events, inputs.rates)
+    assert spark.conf.get("spark.sql.streaming.minBatchesToRetain") == "2"
+    assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.compactOnCommit") == "true"
+
+
+def test_shuffle_files_go_with_the_query(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return sorted(x for x in str(disk.getAllFiles().mkString(" ")).split() if "/shuffle_" in x)
+
+    before = shuffles()
+    spark.range(5000).repartition(5, "id").write.format("noop").mode("overwrite").save()
+    until = time.time() + 20
+    while set(shuffles()) - set(before) and time.time() < until:
+        time.sleep(0.2)
+    assert not set(shuffles()) - set(before)
+    # What is run twice gives the same rows twice.
+    rows = spark.range(5000).groupBy("id").count().where("count = 1")
+    assert len(rows.collect()) == len(rows.collect()) == rows.count() == 5000
+
+
+def test_scrambled_checkouts_are_dealt_before_they_are_built(spark, folder):
+    inputs = Inputs.of(spark, folder)
+    made = inputs.scrambled_checkouts()
+    assert made.count() == inputs.checkouts.count() and made.exceptAll(inputs.checkouts).isEmpty()
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    dealt = plan[plan.index("RepartitionByExpression [l_orderkey"):]
+    assert "cart_products" in plan and "cart_products" not in dealt and "checkout_success" not in dealt
+
+
 def test_carts_are_not_parsed_in_the_scan_as_well(spark, folder):
     lines = staging.cart_lines(Inputs.of(spark, folder).checkouts)
     plan = lines._jdf.queryExecution().optimizedPlan().toString()
