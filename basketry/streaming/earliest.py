@@ -31,17 +31,11 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from basketry.plans import staging
+from basketry.streaming.state import state_on_disk
 
 DELAY = "3 days"
 REMEMBER_DAYS = 3
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 OUTPUT = "line string, late boolean"
-# Each commit writes the blocks anew, so every commit that is kept is as large as the state.
-STATE_CONF = {
-    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
-    "spark.sql.streaming.stateStore.rocksdb.compactOnCommit": "true",
-    "spark.sql.streaming.minBatchesToRetain": "2",
-}
 STATE = "block binary"
 KNOWN = ["key", "time_stamp", "event", "item", "line", "sent"]
 # Calls of the processor cost some 20 ms each; a bucket of some 20,000 keys takes a few MB.
@@ -130,8 +124,7 @@ def earliest_cart_lines(events: DataFrame, currency_rates: DataFrame, delay: str
     State lies in RocksDB.  The output is for append mode.  ``buckets`` should grow with the keys that
     are known at a time, about one for ``KEYS_A_BUCKET``; a started stream has to stay with its number.
     """
-    for name, value in STATE_CONF.items():
-        events.sparkSession.conf.set(name, value)
+    state_on_disk(events.sparkSession, rewritten=True)
     lines = staging.packed_lines(events).withColumn("event_timestamp", F.timestamp_seconds("time_stamp"))
     packed = lines.withWatermark("event_timestamp", delay).select(
         F.pmod(F.xxhash64("order_id", "product_id"), F.lit(buckets)).alias("bucket"),

@@ -86,6 +86,16 @@ def test_old_state_does_not_pile_up(spark, folder):
     assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.compactOnCommit") == "true"
 
 
+def test_keys_of_the_stream_lie_on_disk(spark, folder):
+    queries = entry_points.queries()
+    queries["stm3_stream_dedupe"](spark, folder)
+    newest = max(glob.glob(os.path.join(shared_root(spark).removeprefix("file:"), "stream-*")), key=os.path.getmtime)
+    names = [f for _, _, files in os.walk(f"{newest}/state") for f in files]
+    assert any(n.endswith(".zip") for n in names) and not any(n.endswith((".delta", ".snapshot")) for n in names)
+    arrived = max(glob.glob(os.path.join(shared_root(spark).removeprefix("file:"), "arrivals-*")), key=os.path.getmtime)
+    assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in glob.glob(f"{arrived}/*.parquet")} == {"ZSTD"}
+
+
 def test_shuffle_files_go_with_the_query(spark):
     disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
 
