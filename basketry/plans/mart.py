@@ -12,14 +12,17 @@ NOT_LISTED = "Not In Catalog"
 
 def sales_mart(fact: DataFrame, dim_date: DataFrame, dim_product: DataFrame,
                dim_location: DataFrame, dim_currency: DataFrame, dim_store: DataFrame) -> DataFrame:
-    """Fact rows with the attributes of their dimensions; no customer attributes."""
-    df = lookup(fact, dim_date.select(
+    """Fact rows with the attributes of their dimensions; no customer attributes.
+
+    Products come first: where they are too many to broadcast, only the fact's own columns are shuffled.
+    """
+    df = lookup(fact, dim_product.select(
+        "product_key", "product_id", "product_name", "product_sku", "product_gender"), "product_key")
+    df = lookup(df, dim_date.select(
         "date_key", "full_date", "year_number", "quarter_number", "month_number", "month_name",
         "day_name", "is_weekend"), "date_key")
     df = lookup(df, dim_currency.select("currency_key", "currency_code"), "currency_key")
     df = lookup(df, dim_store.select("store_key", "store_domain"), "store_key")
-    df = lookup(df, dim_product.select(
-        "product_key", "product_id", "product_name", "product_sku", "product_gender"), "product_key")
     df = lookup(df, dim_location.select(
         "location_key", "location_city_name", "location_region_name", "location_country_name",
         "location_country_code"), "location_key")

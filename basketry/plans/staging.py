@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructField
 
 from basketry.functions import business, jsontext
 from basketry.functions.dates import utc_date
@@ -65,6 +66,7 @@ def with_currency_code(lines: DataFrame, currency: DataFrame) -> DataFrame:
 
 
 LINE_KEY = ["order_id", "product_id"]
+LINE_ORDER = [*LINE_KEY, "time_stamp", "source_event_id", "item_index"]
 
 
 def _keyed_lines(events: DataFrame) -> DataFrame:
@@ -98,36 +100,45 @@ def typed_lines(events: DataFrame, currency_rates: DataFrame) -> DataFrame:
     return _typed(_keyed_lines(events), currency_rates)
 
 
-def packed_lines(events: DataFrame) -> DataFrame:
-    """All lines with the columns that order them, and each whole line as one text, ``line``.
+def _as_text(columns: list[str]) -> Column:
+    """A row's values as one JSON array: in a shuffle or a state a fraction of a row with as many
+    columns, each of which takes a word for its place and fills up its last one."""
+    return F.to_json(F.array(*[F.col(c).cast("string") for c in columns]))
 
-    The text is a JSON array of values: a fraction of the typed line, which has more columns that
-    follow from others, under their names.
-    """
+
+def _from_text(packed: DataFrame, fields: list[StructField]) -> DataFrame:
+    """The fields of the text ``line``, and the other columns beside them."""
+    beside = [c for c in packed.columns if c != "line"]
+    values = packed.select(*beside, F.from_json("line", "array<string>").alias("__line"))
+    return values.select(*beside, *[F.get("__line", F.lit(n)).cast(f.dataType).alias(f.name) for n, f in enumerate(fields)])
+
+
+def packed_lines(events: DataFrame) -> DataFrame:
+    """All lines with the columns that order them, and each whole line as one text, ``line``."""
     keyed = _keyed_lines(events)
-    return keyed.select("order_id", "product_id", "time_stamp", "source_event_id", "item_index",
-                        F.to_json(F.array(*[F.col(c).cast("string") for c in keyed.columns])).alias("line"))
+    return keyed.select(*LINE_ORDER, _as_text(keyed.columns).alias("line"))
 
 
 def unpacked_lines(packed: DataFrame, events: DataFrame, currency_rates: DataFrame) -> DataFrame:
     """Typed lines from the texts of ``packed_lines``; other columns of ``packed`` stay beside them."""
-    keyed = _keyed_lines(events).schema
-    others = [c for c in packed.columns if c != "line"]
-    values = packed.select(*others, F.from_json("line", "array<string>").alias("__line"))
-    lines = values.select(*others, *[
-        F.get("__line", F.lit(n)).cast(f.dataType).alias(f.name) for n, f in enumerate(keyed)])
-    return _typed(lines, currency_rates, *others)
+    lines = _from_text(packed, _keyed_lines(events).schema.fields)
+    return _typed(lines, currency_rates, *[c for c in packed.columns if c != "line"])
 
 
-def checkout_cart_items(events: DataFrame, currency_rates: DataFrame) -> DataFrame:
+def checkout_cart_items(events: DataFrame, currency_rates: DataFrame, *, whole: bool = False) -> DataFrame:
     """Distinct (order, product) lines of successful checkouts; of repeated tracking events
-    the earliest stays."""
+    the earliest stays.
+
+    For whoever keeps ``whole`` lines they are shuffled as texts; others get the columns they need.
+    """
+    keyed = _keyed_lines(events)
+    others = [f for f in keyed.schema if f.name not in LINE_ORDER]
     first = first_per_key(
-        _keyed_lines(events), LINE_KEY,
+        keyed.select(*LINE_ORDER, _as_text([f.name for f in others]).alias("line")) if whole else keyed, LINE_KEY,
         [F.asc("time_stamp"), F.asc("source_event_id"), F.asc("item_index")],
     )
     # Only lines that stay are typed, and columns that follow from others are not shuffled.
-    return _typed(first, currency_rates)
+    return _typed(_from_text(first, others) if whole else first, currency_rates)
 
 
 def currency_symbols(events: DataFrame, *by: Column) -> DataFrame:

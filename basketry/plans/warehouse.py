@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from basketry.operators.quality import enforce_contract
 from basketry.plans import declared, dims, facts, mart, staging
 from basketry.plans.staged import StagedDays
-from basketry.session import cut_lineage
+from basketry.session import cut_lineage, fresh_path, remove
 from basketry.sinks.versioned import VersionedTable
 from basketry.sinks.writers import publish_view, save_table
 from basketry.sources.readers import Registry
@@ -39,18 +39,30 @@ def define(spark: SparkSession, events: DataFrame, ip_locations: DataFrame, raw_
     three models and would be made three times; and lookups on disk have a size, so Spark
     broadcasts a small one to the fact rows instead of shuffling these by a key such as
     the currency, of which one value may cover a third of them.  Products are a plain
-    scan of the raw table and need no copy.
+    scan of the raw table and need no copy.  The parsed carts are removed once all three that
+    read them are written, so they are no model to refer to from outside.
 
     Who refers to one model only of those that cart items feed leaves ``write_cart`` out: their
     lines then go straight into that model, and only the columns it needs are shuffled.
     """
     r = Registry(spark)
+    carts = fresh_path(spark, CARTS)
+    # What is made of the carts and written; with the last of it they have no reader left.
+    waiting = {CART, "stg_currency", "stg_store"} if write_cart else set()
 
     def written(name: str, build) -> None:
-        r.add(name, lambda: cut_lineage(build(), name))
-
-    written(CARTS, lambda: staging.parsed_carts(events))
-    (written if write_cart else r.add)(CART, lambda: staging.checkout_cart_items(r[CARTS], currency_rates))
+        def once() -> DataFrame:
+            made = cut_lineage(build(), name)
+            if name in waiting:
+                waiting.remove(name)
+                if not waiting:
+                    remove(spark, carts)
+            return made
+
+        r.add(name, once)
+
+    r.add(CARTS, lambda: cut_lineage(staging.parsed_carts(events), CARTS, carts))
+    (written if write_cart else r.add)(CART, lambda: staging.checkout_cart_items(r[CARTS], currency_rates, whole=write_cart))
     written("stg_currency", lambda: staging.currency(r[CARTS], currency_rates))
     written("stg_location", lambda: staging.location(ip_locations))
     written("stg_store", lambda: staging.store(r[CARTS]))

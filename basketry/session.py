@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -80,13 +82,28 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_root(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def cut_lineage(df: DataFrame, name: str = "step") -> DataFrame:
+def cut_lineage(df: DataFrame, name: str = "step", path: str | None = None) -> DataFrame:
     """The rows as a Parquet table in the shared folder.
 
     Losing an executor costs nothing that has been written, later steps read only the
     columns they need, and Spark knows the size of the table when it plans a join.
     """
-    path = fresh_path(df.sparkSession, name)
-    # Read once or a few times: a dictionary costs more here than it saves.
-    df.write.option("compression", "zstd").option("parquet.enable.dictionary", "false").parquet(path)
+    path = path or fresh_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared storage that nothing reads any more."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextlib.contextmanager
+def written_for(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """The rows as `cut_lineage` gives them, for the steps of one block only: the table goes at its end."""
+    path = fresh_path(df.sparkSession, name)
+    try:
+        yield cut_lineage(df, name, path)
+    finally:
+        remove(df.sparkSession, path)
