@@ -7,6 +7,7 @@ not run, or that has no rule, shows as such instead of going missing.
 from __future__ import annotations
 
 import csv
+import re
 from dataclasses import dataclass
 from importlib import resources
 
@@ -80,6 +81,12 @@ def catalogue() -> list[Declared]:
                          r["other"], r["scope"]) for r in csv.DictReader(lines)]
 
 
+def columns_read(tests: list[Declared], model: str, columns: list[str]) -> list[str]:
+    """Those of a model's columns that its tests look at, or name in their scope."""
+    own = [t for t in tests if t.model == model]
+    return [c for c in columns if any(c in t.columns or re.search(rf"\b{re.escape(c)}\b", t.scope) for t in own)]
+
+
 def measure(tests: list[Declared], tables: dict[str, DataFrame]) -> DataFrame:
     """(check, failures) of the tests whose tables are there and whose kind has a rule.
 
