@@ -33,7 +33,7 @@ def ingest_prefix(spark: SparkSession, bucket: str, prefix: str, target: str, ch
     """
     return (
         arriving_files(spark, bucket, prefix, files_per_batch=files_per_batch)
-        .writeStream.format("parquet").outputMode("append")
+        .writeStream.format("parquet").option("compression", "zstd").outputMode("append")
         .option("path", target).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )

@@ -16,6 +16,7 @@ from basketry.session import fresh_path, shared_root, written_for
 from basketry.sinks.versioned import VersionedTable
 from basketry.sources import schemas
 from basketry.sources.readers import bundled_currency_rates
+from basketry.streaming import ingest
 
 
 @pytest.fixture
@@ -93,3 +94,12 @@ def test_written_steps_of_one_block_go_at_its_end(spark, folder, folders):
     table.merge(spark.range(7, 12).select("id", F.lit(1).cast("bigint").alias("p")), ["id"])
     assert table.read().count() == 12
     assert [folders(name) for name in ("carts", "window", "batch")] == [[], [], []]
+
+
+def test_ingested_files_are_compressed_well(spark, tmp_path):
+    folder = tmp_path / "raw" / "products"
+    folder.mkdir(parents=True)
+    (folder / "a.jsonl").write_text('{"product_id": "1"}\n')
+    ingest.ingest_prefix(spark, str(tmp_path), "raw/products/", f"{tmp_path}/t", f"{tmp_path}/c").awaitTermination()
+    made, = glob.glob(f"{tmp_path}/t/*.parquet")
+    assert pq.ParquetFile(made).metadata.row_group(0).column(0).compression == "ZSTD"
