@@ -100,6 +100,11 @@ def test_ingested_files_are_compressed_well(spark, tmp_path):
     folder = tmp_path / "raw" / "products"
     folder.mkdir(parents=True)
     (folder / "a.jsonl").write_text('{"product_id": "1"}\n')
-    ingest.ingest_prefix(spark, str(tmp_path), "raw/products/", f"{tmp_path}/t", f"{tmp_path}/c").awaitTermination()
+    codec = spark.conf.get("spark.sql.parquet.compression.codec")
+    spark.conf.set("spark.sql.parquet.compression.codec", "snappy")  # whatever the session's default is
+    try:
+        ingest.ingest_prefix(spark, str(tmp_path), "raw/products/", f"{tmp_path}/t", f"{tmp_path}/c").awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.parquet.compression.codec", codec)
     made, = glob.glob(f"{tmp_path}/t/*.parquet")
     assert pq.ParquetFile(made).metadata.row_group(0).column(0).compression == "ZSTD"
