@@ -108,3 +108,15 @@ def test_ingested_files_are_compressed_well(spark, tmp_path):
         spark.conf.set("spark.sql.parquet.compression.codec", codec)
     made, = glob.glob(f"{tmp_path}/t/*.parquet")
     assert pq.ParquetFile(made).metadata.row_group(0).column(0).compression == "ZSTD"
+
+
+def test_versioned_tables_are_compressed_well(spark):
+    codec = spark.conf.get("spark.sql.parquet.compression.codec")
+    spark.conf.set("spark.sql.parquet.compression.codec", "snappy")  # whatever the session's default is
+    try:
+        root = fresh_path(spark, "codec")
+        VersionedTable(spark, root, "p").replace(spark.range(9).select("id", F.lit(1).alias("p")))
+    finally:
+        spark.conf.set("spark.sql.parquet.compression.codec", codec)
+    made = glob.glob(f"{root.removeprefix('file:')}/data/*/*/*.parquet")
+    assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in made} == {"ZSTD"}
